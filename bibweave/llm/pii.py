@@ -80,9 +80,13 @@ AGAINST = r"version|isbn|issn|page|order|serial|total|score|id:|no\.|ticket|figu
 
 def _chunked(array: Column, use) -> Column:
     """``use(i, part)`` for each run of CHUNK items: keeps the work of growing arrays near linear."""
-    n = F.size(array)
-    many = F.ceil(n / F.lit(CHUNK)).cast("int")
-    return F.transform(F.sequence(F.lit(0), many - 1), lambda i: use(i, F.slice(array, i * CHUNK + 1, CHUNK)))
+
+    def parts(a: Column) -> Column:
+        last = F.ceil(F.size(a) / F.lit(CHUNK)).cast("int") - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda i: use(i, F.slice(a, i * CHUNK + 1, CHUNK)))
+
+    # an array of one gives the array a name; else it is worked out anew for each run
+    return F.element_at(F.transform(F.array(array), parts), 1)
 
 
 def found(text: Column, pattern: str, guard: str, keep) -> Column:
