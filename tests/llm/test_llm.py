@@ -133,8 +133,12 @@ def test_ordinal_held_out(spark):
     model = ordinal.fit(docs.join(rated.where("doc_id % 3 != 0"), "doc_id"))
     assert list(model.thresholds) == sorted(model.thresholds)
     got = ordinal.grade(docs.join(rated.where("doc_id % 3 = 0"), "doc_id", "left_semi"), model).join(rated, "doc_id").collect()
-    right = sum(r.kept == (r.grade == 2) for r in got) / len(got)
-    assert right > 0.97, right
+    share = {g: sum(r.kept for r in got if r.grade == g) / sum(r.grade == g for r in got) for g in (0, 1, 2)}
+    print(share)
+    # a tenth of the texts labelled toxic hold no word that others don't
+    assert share[2] > 0.97 and share[1] < 0.2 and share[0] < 0.05, share
+    mean = {g: np.mean([r.expected_grade for r in got if r.grade == g]) for g in (0, 1, 2)}
+    assert mean[0] < mean[1] < mean[2]
 
 
 def test_ordinal_awkward(spark, docs, rows):
