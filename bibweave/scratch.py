@@ -46,6 +46,15 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def save_by(self, df: DataFrame, key: str, buckets: int) -> DataFrame:
+        """The same, dealt to so many buckets by ``key``: a join or grouping by it later does not shuffle the table again."""
+        path = self.path()
+        name = f"bibweave_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
+        out = self.spark.table(name)
+        out._scratch_path = path
+        return out
+
     def drop(self, *frames: DataFrame | None) -> None:
         jvm, hadoop = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for df in frames:
