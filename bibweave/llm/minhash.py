@@ -6,11 +6,16 @@
    shifted k steps round the circle. So two permutations give all coordinates.
 2. Texts with one and the same set form a class; classes go on, copies don't.
 3. Bands of coordinates are hashed. Classes that share a band are candidates.
-4. Candidates are confirmed in rounds: in each bucket every class is compared
-   with one hub only, confirmed links are contracted to components, and buckets
-   that lie within one component are done. What is left after the star rounds is
-   compared in full, across components only, so no link is lost, yet a group of
-   thousands of near copies never makes all its pairs.
+4. In each bucket every class is compared with one hub only; confirmed links are
+   contracted to components. Rounds of new hubs follow while they find enough.
+   Before sets are compared, one byte of each coordinate gives an estimate, and
+   pairs that are five deviations below the threshold go.
+5. Buckets that still hold several components are settled by prefixes: with all
+   shingles in one order, rare ones first, two sets that are similar enough share
+   a shingle near the front of both, at places that their sizes bound. Only
+   classes of different components that meet in this way are compared. This is
+   exact, and a bucket of thousands of classes that are alike, but not alike
+   enough, never makes all its pairs.
 
 Defined cases: a null, empty or blank text has no shingles and is a group of its
 own; repeated rows of a doc_id are the same document; rows with a null doc_id get
@@ -33,8 +38,14 @@ from bibweave.scratch import Scratch
 
 #: 32 bands of 5: a pair at the threshold of 0.8 is missed 3 times in a million.
 BANDS, ROWS = 32, 5
-#: Star rounds before the rest is compared in full; fewer if little is left.
-STAR_ROUNDS = 4
+#: Rounds of hubs at most, and the share of pairs that must be links for another one.
+STAR_ROUNDS, YIELD = 4, 0.05
+#: A pair at the threshold whose estimate is lower is as rare as one that shares no band.
+LEAST_ESTIMATE = 0.15
+#: Buckets of the table that orders shingles by how frequent they are, whatever the input: 2**18 numbers are broadcast.
+ORDER_BITS = 18
+#: Sets meet only if their sizes allow it: they are dealt by steps of this ratio.
+SIZE_STEP = 1.12
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
@@ -91,18 +102,21 @@ def _signed(bands: int, rows: int, width: int):
         powers = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(rows)], np.uint64)
         salt = np.arange(1, bands + 1, dtype=np.uint64) * _MULT[3]
         for batch in batches:
-            sizes, digests, keys = [], [], []
+            sizes, digests, keys, sketches = [], [], [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), width, words)
                 sizes.append(len(s))
                 if not len(s):
                     digests.append(None)
                     keys.append(None)
+                    sketches.append(None)
                     continue
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                sig = signature(s, bands * rows).astype(np.uint64).reshape(bands, rows)
+                sig = signature(s, bands * rows)
+                sketches.append(sig.astype(np.uint8).tobytes())
+                sig = sig.astype(np.uint64).reshape(bands, rows)
                 keys.append(_mix64(_mix64((_mix64(sig + np.uint64(1)) * powers).sum(axis=1, dtype=np.uint64)) + salt).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["doc_id", "n_shingles", "digest", "bands", "sketch"])
 
     return run
 
@@ -116,16 +130,23 @@ def _sets(width: int):
     return run
 
 
+def _likely(least: float):
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+            yield batch.filter(pa.array((x == y).mean(axis=1) >= least)).select([0, 1])
+
+    return run
+
+
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = min(len(a), len(b)), max(len(a), len(b))
-                if 100 * small < percent * large:
-                    keep.append(False)
-                    continue
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
@@ -133,80 +154,162 @@ def _confirm(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: int = BANDS, rows: int = ROWS, scratch: Scratch | None = None) -> DataFrame:
+def _places(shingles: np.ndarray) -> np.ndarray:
+    return (_mix64(shingles * _MULT[4]) >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+
+
+def _frequencies(batches):
+    """Sets -> (place, n): how often shingles of each place of the order table occur."""
+    total = np.zeros(1 << ORDER_BITS, np.int64)
+    for batch in batches:
+        for x in batch.column(0):
+            total += np.bincount(_places(np.frombuffer(x.as_buffer(), np.uint64)), minlength=1 << ORDER_BITS)
+    at = np.nonzero(total)[0]
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["place", "n"])
+
+
+def _steps(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(n) / np.log(SIZE_STEP)).astype(np.int64)
+
+
+def prefix_keys(shingles: np.ndarray, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, place, larger) of a set: what it must share with a similar one.
+
+    Of a similar pair of sizes x <= y, the first common shingle stands at i in
+    the smaller and at j in the larger, and all that is common stands from
+    there on: both x - i and y - j are at least percent / (100 + percent) of
+    x + y. So the smaller one shows its key up to an i, and the larger one, for
+    each j, to the sizes that this leaves.
+    """
+    n = len(shingles)
+    s = shingles[np.lexsort((shingles, order[_places(shingles)]))]
+    token = _mix64(s * _MULT[5])
+    key = lambda t, step: _mix64(t + step.astype(np.uint64) * _MULT[6])
+    small = n - -(-2 * percent * n // (100 + percent)) + 1
+    i = np.arange(small)
+    keys, places, larger = [key(token[:small], np.full(small, _steps(np.array([n]))[0]))], [i], [np.zeros(small, bool)]
+    least = -(-percent * n // 100)
+    j = np.arange(n - least + 1)
+    most = np.minimum(n, (n - j) * (100 + percent) // percent - n)
+    j, most = j[most >= least], most[most >= least]
+    first, last = int(_steps(np.array([least]))[0]), _steps(most) if len(most) else most
+    for step in range(first, int(last.max(initial=first - 1)) + 1):
+        own = j[last >= step]
+        keys.append(key(token[own], np.full(len(own), step)))
+        places.append(own)
+        larger.append(np.ones(len(own), bool))
+    return np.concatenate(keys), np.concatenate(places), np.concatenate(larger)
+
+
+def _keyed(shared, percent: int):
+    """(id, c, shingles) -> rows (key, larger, id, c, n, place)."""
+    names = ["key", "larger", "id", "c", "n", "place"]
+
+    def run(batches):
+        for batch in batches:
+            for i, c, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                s = np.frombuffer(x.as_buffer(), np.uint64)
+                key, place, larger = prefix_keys(s, shared.value, percent)
+                k = len(key)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(larger), pa.array(np.full(k, i)), pa.array(np.full(k, c)), pa.array(np.full(k, len(s)), pa.int32()), pa.array(place, pa.int32())], names)
+
+    return run
+
+
+def _prefix_pairs(opened: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b), a < b, of different components that may be similar enough; none that is gets lost.
+
+    ``opened`` has id, c (component) and shingles.
+    """
+    counts = opened.select("shingles").mapInArrow(_frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    order = np.zeros(1 << ORDER_BITS, np.int64)
+    order[counts["place"].to_numpy()] = counts["n"].to_numpy()
+    shared = opened.sparkSession.sparkContext.broadcast(order)
+    keyed = scratch.save(opened.select("id", "c", "shingles").mapInArrow(_keyed(shared, percent), "key long, larger boolean, id long, c long, n int, place int"))
+    # keys of one component only say nothing; elsewhere the largest component's members need not meet each other
+    top = keyed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", F.col("top.c").alias("most"))
+    mixed = scratch.save(keyed.join(top, "key").withColumn("minor", F.expr("c != most")).drop("most"))
+    small = mixed.where("not larger").select("key", *(F.col(x).alias(f"{x}_s") for x in ("id", "c", "n", "place", "minor")))
+    large = mixed.where("larger").select("key", *(F.col(x).alias(f"{x}_l") for x in ("id", "c", "n", "place", "minor")))
+    fits = f"""c_s != c_l AND n_s <= n_l AND 100L * n_s >= {percent}L * n_l
+        AND {100 + percent}L * least(n_s - place_s, n_l - place_l) >= {percent}L * (n_s + n_l)"""
+    met = small.where("minor_s").join(large, "key").where(fits).unionByName(small.where("not minor_s").join(large.where("minor_l"), "key").where(fits))
+    pairs = scratch.save(met.select(F.least("id_s", "id_l").alias("a"), F.greatest("id_s", "id_l").alias("b")).distinct())
+    scratch.drop(keyed, mixed)
+    return pairs
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    Documents are linked where 100 * shared >= percent * united shingles;
-    ``component_id`` is the smallest doc_id that links lead to.
+    Documents are linked where 100 * shared >= percent * united shingles of
+    ``width`` words; ``component_id`` is the smallest doc_id that links lead to.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = scratch.save(texts.mapInArrow(_signed(bands, rows, width), "doc_id long, n_shingles long, digest binary, bands array<bigint>"))
+    signed = scratch.save(texts.mapInArrow(_signed(bands, rows, width), "doc_id long, n_shingles long, digest binary, bands array<bigint>, sketch binary"))
 
-    # one row per set: a copy has the same bands, any of them will do
-    classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")).where("id is not null")
+    # one row per set: a copy has the same bands and sketch, any of them will do
+    classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).where("id is not null")
     classes = scratch.save(classes)
     banded = classes.select(F.explode("bands").alias("key"), "id", "n")
-    hubs = banded.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1").select("key", "hub")
-    member = scratch.save(banded.join(hubs, "key").select("key", "id", "n", "hub"))
+    hubs = banded.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1").select("key", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
+    member = scratch.save(banded.join(hubs, "key").select("key", "id", "n", "hub", "hub_n"))
+    fits = lambda x, y: F.expr(f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})")
 
-    sets = None
-    links = None
-    done = None  # pairs already compared
-    labels = None
+    sets = links = labels = None
+    pairs = scratch.save(member.where("id != hub").where(fits("n", "hub_n")).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
+    done = pairs  # pairs already compared
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """pairs (a, b), a < b, of classes."""
-        left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-        return scratch.save(both.mapInArrow(_confirm(percent), "a long, b long"))
-
-    pairs = member.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = scratch.save(pairs)
-    if not pairs.isEmpty():
+        """Those of the pairs (a, b) that are similar enough."""
+        sketch = lambda i: classes.select(F.col("id").alias(i), F.col("sketch").alias(f"s{i}"))
+        likely = scratch.save(pairs.join(sketch("a"), "a").join(sketch("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_likely(percent / 100 - LEAST_ESTIMATE), "a long, b long"))
+        found = exact(likely)
+        scratch.drop(likely)
+        return found
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        # only sets that take part are dealt out
+        part = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        own = sets.join(part, "id", "left_semi")
+        side = lambda i: own.select(F.col("id").alias(i), F.col("shingles").alias(f"s{i}"))
+        return scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"))
+
+    if not member.isEmpty():
         ids = member.select("id").distinct()
         sets = scratch.save(texts.join(ids, texts.doc_id == ids.id, "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "id long, shingles binary"))
-        links = confirmed(pairs)
-        done = pairs
-        for round_ in range(1, STAR_ROUNDS + 2):
-            fresh = connected_components(links, scratch)
-            if labels is not None:
-                scratch.drop(labels)
-            labels = fresh
+        compared, links = pairs.count(), confirmed(pairs)
+        found = links.count()
+        for round_ in range(1, STAR_ROUNDS + 1):
+            scratch.drop(labels)
+            labels = connected_components(links, scratch)
             now = member.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
             # buckets that still hold more than one component
-            open_ = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo != hi").select("key", "members")
+            open_ = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
             now = scratch.save(now.join(open_, "key"))
-            if round_ > STAR_ROUNDS:
-                break
-            # what a full comparison would cost now, against one more star round
-            size = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("s"))
-            cost, stars = size.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.lit(0.0)), F.coalesce(F.sum("m"), F.lit(0))).first()
-            if cost <= 4.0 * stars:
+            if round_ == STAR_ROUNDS or found <= YIELD * compared:
                 break
             # the next hub: a class of the bucket's largest component, another one each round
-            order = F.struct(F.col("k"), F.xxhash64("key", "c"), F.col("pick"))
-            per = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min_by("id", F.xxhash64("id", F.lit(round_))).alias("pick"))
-            hub = per.groupBy("key").agg(F.max(order).alias("top")).select("key", F.col("top.pick").alias("hub"))
-            more = now.join(hub, "key").join(labels.select(F.col("node").alias("hub"), F.col("component").alias("hc")), "hub", "left").where("c != coalesce(hc, hub)")
-            more = more.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+            per = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min_by(F.struct("id", "n"), F.xxhash64("id", F.lit(round_))).alias("pick"))
+            hub = per.groupBy("key").agg(F.max(F.struct("k", F.xxhash64("key", "c"), "c", "pick")).alias("top")).select("key", F.col("top.pick.id").alias("hub"), F.col("top.pick.n").alias("hub_n"), F.col("top.c").alias("hub_c"))
+            more = now.join(hub, "key").where("c != hub_c").where(fits("n", "hub_n")).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
             more = scratch.save(more.join(done, ["a", "b"], "left_anti"))
-            if more.isEmpty():
+            compared = more.count()
+            if not compared:
                 break
-            found = confirmed(more)
+            fresh = confirmed(more)
+            found = fresh.count()
             done = scratch.save(done.unionByName(more))
-            links = scratch.save(links.unionByName(found))
-            scratch.drop(more, found, now)
-        a = now.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-        b = now.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-        rest = a.join(b, "key").where(f"a < b and ca != cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-        rest = scratch.save(rest.join(done, ["a", "b"], "left_anti"))
-        if not rest.isEmpty():
-            links = scratch.save(links.unionByName(confirmed(rest)))
-            labels = connected_components(links, scratch)
-        scratch.drop(sets, rest, now, done, member)
+            links = scratch.save(links.unionByName(fresh))
+            scratch.drop(more, fresh, now)
+        opened = scratch.save(sets.join(now.select("id", "c").distinct(), "id").select("id", "c", "shingles"))
+        if not opened.isEmpty():
+            rest = exact(_prefix_pairs(opened, percent, scratch))
+            if not rest.isEmpty():
+                labels = connected_components(links.unionByName(rest), scratch)
+        scratch.drop(sets, opened, now, done, member, pairs)
 
     # each row finds its class by its set, and the class its component
     out = classes.select("digest", "id")

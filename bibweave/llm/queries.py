@@ -44,7 +44,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -222,7 +222,7 @@ def brute_groups(rows, width=4, percent=80):
 
 def test_minhash(docs, rows):
     sets, group = brute_groups(rows)
-    got = minhash.near_duplicates(docs).collect()
+    got = minhash.near_duplicates(docs, width=4).collect()
     assert len(got) == len(rows)
     for r in got:
         assert r.n_shingles == len(sets[r.doc_id])
@@ -245,12 +245,12 @@ def test_minhash_chains_and_large_groups(spark):
     texts += [" ".join(f"c{j}" for j in range(k, k + 60)) for k in range(0, 40, 3)]
     rows = [{"doc_id": 1000 - i, "text": t} for i, t in enumerate(texts)]
     sets, group = brute_groups(rows)
-    got = minhash.near_duplicates(spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")).collect()
+    got = minhash.near_duplicates(spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string"), width=4).collect()
     assert {r.doc_id: r.component_id for r in got} == group
 
 
 def test_minhash_deduplicate(docs, rows):
-    _, group = brute_groups(rows)
+    _, group = brute_groups(rows, 5)
     got = minhash.deduplicate(docs)
     assert got.columns == docs.columns
     assert sorted(r.doc_id for r in got.where("doc_id is not null").collect()) == sorted(set(group.values()))
@@ -263,6 +263,41 @@ def test_circulant_signature_estimates_jaccard():
     assert abs((a == b).mean() - 1500 / 2500) < 0.08
 
 
+def test_prefix_keys_meet_for_every_similar_pair():
+    """Sets of all sizes, just above the threshold: some key is shared, small to large, and the places allow it."""
+    rng = np.random.default_rng(5)
+    order = rng.integers(0, 50, 1 << minhash.ORDER_BITS)
+    for _ in range(400):
+        n = int(rng.integers(1, 120))
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        gone, fresh = int(rng.integers(0, n // 5 + 1)), int(rng.integers(0, n // 5 + 1))
+        b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 62, fresh).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 80 * (len(a) + len(b) - both):
+            continue
+        x, y = (a, b) if len(a) <= len(b) else (b, a)
+        (kx, px, lx), (ky, py, ly) = minhash.prefix_keys(x, order, 80), minhash.prefix_keys(y, order, 80)
+        small, large = dict(zip(kx[~lx].tolist(), px[~lx], strict=True)), dict(zip(ky[ly].tolist(), py[ly], strict=True))
+        met = [k for k in small if k in large]
+        assert any(180 * min(len(x) - small[k], len(y) - large[k]) >= 80 * (len(x) + len(y)) for k in met)
+
+
+def test_minhash_settles_crowded_buckets(spark):
+    """Many mutations of one text: pairs on both sides of the threshold, far more than a round of hubs compares."""
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for at in rng.choice(120, int(rng.integers(0, 14)), replace=False):
+            w[at] = f"m{i}x{at}"
+        texts.append(" ".join(w[int(rng.integers(0, 8)):]))
+    rows = [{"doc_id": 7 * i % 151, "text": t} for i, t in enumerate(texts)]
+    _, group = brute_groups(rows)
+    got = minhash.near_duplicates(spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string"), width=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == group and 1 < len(set(group.values())) < 150
+
+
 # 6 language
 
 
@@ -457,7 +492,7 @@ def test_pipeline(spark):
     whole = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     kept = {r.doc_id for r in steps["language_id"].collect()}
     assert kept == {i for i, t in whole.items() if re.search(r"[^\W\d_]", t or "")}
-    _, group = brute_groups([{"doc_id": i, "text": whole[i]} for i in kept])
+    _, group = brute_groups([{"doc_id": i, "text": whole[i]} for i in kept], 5)
     assert {r.doc_id for r in steps["near_dedup"].collect()} == set(group.values())
     for r in steps["redact_pii"].collect():
         assert not any(base_spans(r.text).values()) and r.n_chars == len(r.text)
