@@ -10,7 +10,7 @@ The ratings here are graded from the table ``labels``: 0 for low quality, 1 for
 sound but toxic text, 2 for sound and not toxic.
 
 Defined cases: a null, empty or blank text has no features but its bias and gets
-grade 0, tail 0 and is not kept; documents rated twice count for each rating;
+grade 0, tail 0 and is not kept; documents rated twice count once for each grade;
 ratings with nulls are not learned from; with fewer than two grades to learn from
 every text with words gets the one grade there is (or 0) and is kept; an empty
 table gives an empty table. Texts are read whole.
@@ -181,7 +181,11 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def sampled(rated: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most about ``sample_rows`` ratings of each grade, by a hash of the id: joined with texts, they stay few."""
-    rows = rated.where("grade is not null and doc_id is not null").withColumn("_h", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)))
+    """About ``sample_rows`` documents of each grade, each once, by a hash of the id.
+
+    The hash is uniform over distinct ids, so the result stays that small
+    whatever the input, and can be broadcast.
+    """
+    rows = rated.select("doc_id", "grade").where("grade is not null and doc_id is not null").distinct().withColumn("_h", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)))
     share = rows.groupBy("grade").agg((F.lit(float(sample_rows)) / F.count(F.lit(1)) * (1 << 30)).alias("_most"))
     return rows.join(share, "grade").where("_h < _most").select("doc_id", "grade")
