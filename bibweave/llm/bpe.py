@@ -8,7 +8,8 @@
 3. Blocks meet their ids again and are reassembled by position.
 
 Pre-aggregating by block keeps the shuffle small: a word that makes up a tenth
-of all tokens crosses it once for each block.  Decoding looks ids up in the
+of all tokens crosses it once for each block. Positions don't cross it at all:
+they are written as a table that is bucketed by block, where the ids come to them.  Decoding looks ids up in the
 token-byte table, whose size is that of the vocabulary.
 
 Defined cases: null and empty texts have no ids; repeated rows each get theirs;
@@ -20,13 +21,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -67,11 +68,11 @@ class _Places(dict):
 
 def _pack(numbers: np.ndarray) -> bytes:
     """uint32 numbers as compressed byte planes."""
-    return zlib.compress(np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _blocks(pattern: str, buckets: int, block_chars: int):
@@ -100,7 +101,7 @@ def _blocks(pattern: str, buckets: int, block_chars: int):
                 if len(own):
                     mine = [words[i] for i in own]
                     lengths = _pack(np.fromiter(map(len, mine), np.uint32, len(mine)))
-                    out.append((1, block, b, None, [len(mine), len(lengths)], lengths + zlib.compress(b"".join(mine), 1), _pack(own)))
+                    out.append((1, block, b, None, [len(mine), len(lengths)], lengths + zstandard.compress(b"".join(mine), 3), _pack(own)))
             for at in range(0, len(out), 64):
                 part = list(zip(*out[at : at + 64], strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.int32()), pa.array(part[3], pa.list_(pa.int64())), pa.array(part[4], pa.list_(pa.int64())), pa.array(part[5], pa.binary()), pa.array(part[6], pa.binary())], names)
@@ -139,7 +140,7 @@ def _encoded(shared):
                 if bucket != last:
                     known, last = {}, bucket
                 lengths = _unpack(raw[: sizes[1]]).tolist()
-                text = zlib.decompress(raw[sizes[1] :])
+                text = zstandard.decompress(raw[sizes[1] :])
                 at, counts, flat = 0, [], []
                 for n in lengths:
                     word = text[at : at + n]
@@ -197,7 +198,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None = No
     buckets = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "kind int, block long, bucket int, ids array<bigint>, lens array<bigint>, data binary, data2 binary"
-    blocks = scratch.save(thin.mapInArrow(_blocks(vocabulary.pattern, buckets, block_chars), schema))
+    # dealt by block as it is written: what is large of it, the positions, is not shuffled after that
+    blocks = scratch.save_by(thin.mapInArrow(_blocks(vocabulary.pattern, buckets, block_chars), schema), "block", buckets)
     words = blocks.where("kind = 1").select("block", "bucket", "lens", "data", "data2").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     coded = words.mapInArrow(_encoded(shared), "block long, data binary, data2 binary")
     texts = blocks.where("kind = 0").select("block", "ids", "lens", "data")
