@@ -5,31 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibweave.operators.keys import RULES, stacked, usable
+from bibweave.operators.keys import RULES, stacked
 
 THREE_KEYS = ("last_names_norm", "references", "clean_doi")
 
 
+def _pairs(keys: DataFrame) -> DataFrame:
+    return keys.select(F.col("id").alias("all1_id"), "rule", "key").join(keys.select(F.col("id").alias("all2_id"), "rule", "key"), ["rule", "key"]).select("all1_id", "all2_id")
+
+
 def match(df: DataFrame, strong: str, other: str) -> DataFrame:
     """All (all1_id, all2_id) with equal values of both keys, an id with itself included.
 
     Rows are made distinct first, as an id may have several. The result is the
     pairs themselves; for groups alone, ``group_edges`` needs far fewer.
     """
-    keys = df.where(usable(strong) & usable(other)).select("id", F.col(strong).alias("_s"), F.col(other).alias("_o")).distinct()
-    return keys.select(F.col("id").alias("all1_id"), "_s", "_o").join(keys.select(F.col("id").alias("all2_id"), "_s", "_o"), ["_s", "_o"]).select("all1_id", "all2_id")
+    return _pairs(stacked(df, ((strong, other),)))
 
 
 def match_three(df: DataFrame) -> DataFrame:
     """Names, references and DOI alike; references of any length. Not among the rules of the linkage."""
-    keys = stacked(df, (THREE_KEYS,), listed=False)
-    return keys.select(F.col("id").alias("all1_id"), "key").join(keys.select(F.col("id").alias("all2_id"), "key"), "key").select("all1_id", "all2_id")
+    return _pairs(stacked(df, (THREE_KEYS,), listed=False))
 
 
 def metadata_match(df: DataFrame, rules=RULES) -> DataFrame:
     """Distinct pairs of all rules, in both orders, ids with themselves included."""
-    keys = stacked(df, rules)
-    return keys.select(F.col("id").alias("all1_id"), "rule", "key").join(keys.select(F.col("id").alias("all2_id"), "rule", "key"), ["rule", "key"]).select("all1_id", "all2_id").distinct()
+    return key_pairs(stacked(df, rules))
+
+
+def key_pairs(keys: DataFrame) -> DataFrame:
+    """The same from stacked keys."""
+    return _pairs(keys).distinct()
 
 
 def self_pairs(df: DataFrame, *pairs: DataFrame) -> DataFrame:

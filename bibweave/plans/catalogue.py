@@ -11,7 +11,7 @@ from bibweave.functions import text as T
 from bibweave.functions.describe import article_desc
 from bibweave.functions.language import tag
 from bibweave.operators import checks, identity, match, sampling, simhash
-from bibweave.operators.keys import RULES, drop_frequent, usable
+from bibweave.operators.keys import RULES, drop_frequent
 from bibweave.plans import linkage, views
 from bibweave.plans.views import table, with_sql
 from bibweave.scratch import Scratch
@@ -36,7 +36,8 @@ def query(sql: str | None = None, *needed: str):
 
 
 def _filtered(spark: SparkSession, sf: str) -> DataFrame:
-    return drop_frequent(T.normalise(views.articles(spark, sf)))
+    """Normalised once and written, as in a run; the frequent keys gone."""
+    return drop_frequent(Scratch(spark).save(T.normalise(views.articles(spark, sf)).drop("title", "abstract", "last_names")))
 
 
 # Ids that take part

@@ -11,7 +11,7 @@ from bibweave.functions.language import tag
 from bibweave.functions.text import normalise
 from bibweave.operators import checks, identity
 from bibweave.operators.keys import RULES, drop_frequent, stacked
-from bibweave.operators.match import all_match_pairs, group_edges, metadata_match
+from bibweave.operators.match import all_match_pairs, group_edges, key_pairs
 from bibweave.schemas import DESCRIPTIONS
 from bibweave.scratch import Scratch
 from bibweave.sources import files
@@ -60,7 +60,7 @@ def link(
     mapping = scratch.save(identity.assign_ids(groups, previous, dropped, prefix, highest, scratch))
     sources = scratch.save(identity.sources(mapping, metadata))
     references = scratch.save(identity.references(metadata, sources))
-    matches = metadata_match(filtered, rules)
+    matches = key_pairs(keys)
     results = checks.together(
         checks.unique_input_ids(ids), checks.unique_sources(sources), checks.all_ids_survived(ids, sources), checks.all_matches_survived(matches, sources, identity.symmetric(unlink)),
         checks.no_nulls(references, ("merged_id", "ref_id"), "no_null_references"), checks.no_nulls(sources, ("dataset",), "no_null_datasets"),
