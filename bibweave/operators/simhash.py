@@ -34,27 +34,38 @@ def features(text: str, width: int = WIDTH) -> list[str]:
     return [s[i : i + width] for i in range(max(len(s) - width + 1, 1))]
 
 
-def fingerprint(text: str, known: dict[str, int] | None = None) -> int:
-    """Unsigned 64 bits."""
+def _hash(feature: str) -> int:
+    return int.from_bytes(hashlib.md5(feature.encode("utf-8", "surrogatepass")).digest()[-8:], "big")
+
+
+def _counted(text: str) -> tuple[list[int], np.ndarray]:
+    """Distinct runs of three characters, packed into whole numbers, and how often each occurs; a shorter text is one run."""
+    c = np.frombuffer(_NOT_WORD.sub("", text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+    c = np.concatenate([c, np.zeros(max(0, WIDTH - len(c)), np.int64)])
+    runs, times = np.unique((c[:-2] << 42) | (c[1:-1] << 21) | c[2:], return_counts=True)
+    return runs.tolist(), times
+
+
+def _unpacked(run: int) -> str:
+    return "".join(chr(x - 1) for x in (run >> 42, (run >> 21) & 0x1FFFFF, run & 0x1FFFFF) if x)
+
+
+def fingerprint(text: str, known: dict[int, int] | None = None) -> int:
+    """Unsigned 64 bits. ``known`` keeps hashes from text to text and forgets them before it grows large."""
     known = {} if known is None else known
     if len(known) > 200_000:
         known.clear()
-    hashes = []
-    for f in features(text):
-        h = known.get(f)
-        if h is None:
-            h = known[f] = int.from_bytes(hashlib.md5(f.encode("utf-8", "surrogatepass")).digest()[-8:], "big")
-        hashes.append(h)
-    sums = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 8192):
-        raw = np.array(hashes[at : at + 8192], ">u8").view(np.uint8).reshape(-1, 8)
-        sums += np.unpackbits(raw, axis=1).astype(np.int64).sum(axis=0)
-    return int.from_bytes(np.packbits(2 * sums > len(hashes)).tobytes(), "big")
+    runs, times = _counted(text)
+    for run in runs:
+        if run not in known:
+            known[run] = _hash(_unpacked(run))
+    bits = np.unpackbits(np.array([known[r] for r in runs], ">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return int.from_bytes(np.packbits(2 * (times @ bits) > times.sum()).tobytes(), "big")
 
 
 @F.pandas_udf(LongType())
 def _fingerprints(texts: pd.Series) -> pd.Series:
-    known: dict[str, int] = {}
+    known: dict[int, int] = {}
     out = [None if t is None else int(np.uint64(fingerprint(t, known)).astype(np.int64)) for t in texts]
     return pd.Series(out, dtype="Int64")
 
