@@ -425,3 +425,30 @@ def test_some_queries_equal_their_sql(spark):
         names = [d[0] for d in found.description]
         assert sorted(names) == sorted(got.columns), name
         assert sorted(str(tuple(r)) for r in got.select(*names).collect()) == sorted(str(tuple(r)) for r in found.fetchall()), name
+
+
+def test_command_line(spark, tmp_path):
+    import json
+
+    from bibweave.__main__ import main
+
+    def put(name, rows):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "data").write_text("".join(json.dumps(r) + "\n" for r in rows))
+        return f"file://{tmp_path}/{name}"
+
+    def got(name):
+        return sorted((json.loads(x) for p in (tmp_path / name).glob("part-*") for x in p.read_text().splitlines()), key=str)
+
+    out = f"file://{tmp_path}/"
+    main(["clean", put("c", [{"id": "a", "title": "A <b>t</b>!", "last_names": ["amy s. li"]}]), out + "c_out"])
+    assert got("c_out") == [{"id": "a", "title": "A <b>t</b>!", "last_names": ["amy s. li"], "title_norm": "at", "last_names_norm": "li"}]
+    main(["tag-language", put("l", [{"id": "a", "title": "the end of the story is in the book that was lost"}]), out + "l_out"])
+    assert got("l_out")[0]["title_cld2_lid_first_result_short_code"] == "en" and got("l_out")[0]["abstract_cld2_lid_success"] is False
+    matches = put("m", [{"id1": a, "id2": b} for a, b in ("AB", "BC", "DE", "EF", "GH", "II", "JJ", "KL", "MN", "NO")])
+    before = put("p", [{"orig_id": i, "merged_id": f"carticle_{n:010d}"} for n, ids in ((1, "ABF"), (2, "DE"), (3, "IJ"), (4, "KL"), (5, "MN")) for i in ids])
+    main(["merge-ids", matches, out + "m_out", "--previous", before, "--drop", put("d", [{"merged_id": "carticle_0000000003"}]), "--unlink", out + "nothing"])
+    assert {r["orig_id"]: int(r["merged_id"][9:]) for r in got("m_out")} == {"A": 6, "B": 6, "C": 6, "D": 7, "E": 7, "F": 7, "G": 8, "H": 8, "I": 9, "J": 10, "K": 4, "L": 4, "M": 5, "N": 5, "O": 5}
+    (tmp_path / "g.csv").write_text("manual_id,orig_id\n1,a\n1,b\n2,d\n2,e\n3,f\n")
+    main(["unlink", out + "g.csv", out + "u"])
+    assert spark.read.parquet(out + "u").count() == 16
