@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Used only where the session names no checkpoint folder, as in unit tests.
 LOCAL_DEFAULT = "file:///tmp/bibweave-checkpoints"
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; sets the local default where it is unset."""
@@ -38,9 +40,16 @@ class Scratch:
         self.count += 1
         return f"{self.root}/{self.count}"
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+        """``batch_rows``: rows that Python functions get at a time, where rows are wide."""
         path, schema = self.path(), df.schema
-        df.write.parquet(path)
+        usual = self.spark.conf.get(_BATCH)
+        if batch_rows:
+            self.spark.conf.set(_BATCH, str(min(batch_rows, int(usual))))
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_BATCH, usual)
         out = self.spark.read.schema(schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch_path = path
