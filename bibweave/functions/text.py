@@ -11,6 +11,8 @@ Defined cases: null gives null, and so does a text of which nothing is left.
 
 from __future__ import annotations
 
+import re
+import sys
 import unicodedata
 from collections.abc import Callable
 
@@ -20,15 +22,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 _SPACE = r"(?U)[\s\x1c-\x1f]"
+#: White space at the end, found in linear time: only the start of a run is tried.
+_TAIL = r"(?U)(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++\z"
 #: What is cut from an abstract from a copyright notice to the end of its line.
 _COPYRIGHT = (r"(?Ud)copyright[\s\x1c-\x1f]+\d{4}.*", r"(?Ud)(?:copyright|(?<![\s\x1c-\x1f]))[\s\x1c-\x1f]++\(c\)[\s\x1c-\x1f]++\d{4}.*")
 
 
-def _bare(text: str | None) -> str | None:
-    if text is None:
-        return None
-    parts = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", text))
-    return unicodedata.normalize("NFC", "".join(c for c in parts if unicodedata.category(c) != "Mn"))
+def _marks() -> re.Pattern:
+    """One or more combining marks (category Mn)."""
+    own = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Mn"]
+    return re.compile(f"[{''.join(own)}]+")
+
+
+_MARKS: list[re.Pattern] = []
+
+
+def _bare(text: str) -> str:
+    if not _MARKS:
+        _MARKS.append(_marks())
+    plain = _MARKS[0].sub("", unicodedata.normalize("NFD", unicodedata.normalize("NFKC", text)))
+    return plain if plain.isascii() else unicodedata.normalize("NFC", plain)
 
 
 @F.pandas_udf(StringType())
@@ -53,7 +66,7 @@ def strip_copyright(text: Column) -> Column:
     out = F.lower(text)
     for pattern in _COPYRIGHT:
         out = F.regexp_replace(out, pattern, "")
-    return F.regexp_replace(out, rf"^{_SPACE}+|{_SPACE}+$", "")
+    return F.regexp_replace(F.regexp_replace(out, _TAIL, ""), rf"^{_SPACE}+", "")
 
 
 def _words(text: Column) -> Column:
@@ -77,7 +90,7 @@ def abstract_key(abstract: Column) -> Column:
 def names_key(names: Column) -> Column:
     """Array of names -> their last words, sorted by code point, joined by spaces."""
     kept = F.filter(names, lambda n: n.rlike(r"(?U)[^\s\x1c-\x1f]"))
-    last = F.transform(kept, lambda n: F.lower(F.element_at(F.split(F.regexp_replace(n, rf"{_SPACE}+$", ""), f"{_SPACE}+"), -1)))
+    last = F.transform(kept, lambda n: F.lower(F.element_at(F.split(F.regexp_replace(n, _TAIL, ""), f"{_SPACE}+"), -1)))
     return F.nullif(_words(strip_tags(unaccent(F.array_join(F.array_sort(last), " ")))), F.lit(""))
 
 

@@ -178,7 +178,7 @@ def clean_abstract(spark, sf):
 
 @query(f"SELECT page_id, {views._KEY('html')} AS html_norm FROM pages")
 def clean_html(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.title_key(F.col("html")).alias("html_norm"))
+    return files.spread(table(spark, sf, "pages")).select("page_id", T.title_key(F.col("html")).alias("html_norm"))
 
 
 @query(
@@ -493,7 +493,7 @@ def eval_mapped_references(spark, sf):
 @query()
 def simhash_near_dups(spark, sf):
     """Fingerprints of texts: tested against brute force instead."""
-    return simhash.linked(table(spark, sf, "documents"), "doc_id", "text")
+    return simhash.linked(files.spread(table(spark, sf, "documents")), "doc_id", "text")
 
 
 @query("SELECT title, string_agg(DISTINCT id, ',' ORDER BY id) AS ids FROM docs_v WHERE title IS NOT NULL GROUP BY title", "docs_v")

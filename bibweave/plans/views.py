@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bibweave.sources.files import spread
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -16,7 +18,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Title: the first line; the year and the DOI come from the length, the names from the language."""
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("id"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("abstract"),
         F.concat("source", F.lit("/"), F.col("n_chars").cast("string")).alias("clean_doi"), (F.col("n_chars") % 50).alias("year"), F.array("lang").alias("last_names"),
         F.concat("source", F.lit(","), "lang", F.lit(","), (F.col("n_chars") % 40).cast("string")).alias("references"), F.col("source").alias("dataset"),

@@ -16,6 +16,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A table as read from files, its rows dealt to all cores if it has fewer files than these.
+
+    For costly work on each row of a small table: one file of one row group is
+    one task. Tables of many files stay as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """One JSON object per line, whatever the files of the folder are called; the schema is given, never inferred."""
     return spark.read.schema(schema).json(path)
