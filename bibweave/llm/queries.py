@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibweave.llm import bpe, langid, minhash, mixing, ordinal, pii, sharding, tiff, vptree, warc
+from bibweave.sources.files import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def vocabulary() -> bpe.Vocabulary:
