@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from bibweave.llm import bpe, langid, minhash, mixing, pii
 from bibweave.llm.queries import vocabulary
 from bibweave.scratch import Scratch
+from bibweave.sources.files import spread
 
 #: Models of characters, rules and random orders can't be written as SQL.
 ORACLE_SQL = None
@@ -51,7 +52,7 @@ STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("redact_pii
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, from the table documents."""
     scratch = Scratch(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for i, (_, stage) in enumerate(STAGES):
         done = stage(spark, docs, sf_dir)
         docs = done if i == len(STAGES) - 1 else scratch.save(done)
