@@ -93,10 +93,10 @@ s AS (SELECT sk, sum(size)::BIGINT AS ss, row_number() OVER (ORDER BY sk) - 1 AS
 w AS (SELECT *, [5, 2, 1][(n % 3 + 1)::INT] AS weight, ss * 2 AS cap FROM s),
 c AS (SELECT *, coalesce(sum(cap) OVER b, 0)::DOUBLE AS capped,
              (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS open,
-             (sum(ss) OVER ())::DOUBLE * 1.5 AS whole, row_number() OVER (ORDER BY cap::DOUBLE / weight, n) AS at
+             (sum(ss) OVER ())::DOUBLE * 1.5 AS whole, row_number() OVER (ORDER BY cap::DOUBLE / weight, n) AS nth
       FROM w WINDOW b AS (ORDER BY cap::DOUBLE / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 l AS (SELECT *, (whole - capped) / open AS level FROM c),
-f AS (SELECT *, arg_min(level, at) FILTER (WHERE level * weight <= cap) OVER () AS final FROM l),
+f AS (SELECT *, arg_min(level, nth) FILTER (WHERE level * weight <= cap) OVER () AS final FROM l),
 t AS (SELECT sk, n, ss, least(cap::DOUBLE, coalesce(final, 'inf'::DOUBLE) * weight) AS target,
              [-0.5, 0.0, 0.5][(n % 3 + 1)::INT]::DOUBLE AS slope FROM f),
 r AS (SELECT d.*, t.ss, t.target, t.slope,
@@ -110,5 +110,27 @@ FROM u
 """
 
 
+#: All pairs that share a shingle, compared in full; then what each document reaches.
+_NEAR_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS t FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(array_to_string(t[i:i + 3], ' ')) AS h FROM (SELECT doc_id, t, unnest(range(1, greatest(2, len(t) - 2))) AS i FROM w WHERE len(t) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sets AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS rep FROM (SELECT doc_id, md5(string_agg(h::VARCHAR, ',' ORDER BY h)) AS k FROM s GROUP BY doc_id)),
+r AS MATERIALIZED (SELECT s.doc_id, h FROM s JOIN sets ON s.doc_id = sets.doc_id AND rep = s.doc_id),
+e AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM r x JOIN r y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+f AS (SELECT a, b FROM e UNION SELECT b, a FROM e UNION SELECT rep, doc_id FROM sets UNION SELECT doc_id, rep FROM sets),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT id, b FROM reach JOIN f ON other = a),
+g AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d JOIN g ON g.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT *, CASE WHEN n >= 1000 THEN nullif(max(page_id) OVER (PARTITION BY d, n), page_id) END AS top FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest, CASE WHEN top IS NULL THEN 'response' ELSE 'revisit' END AS record_type, top AS refers_to FROM g
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": _MIX_SQL}
+    return {"op4_mixing": _MIX_SQL, "op5_minhash": _NEAR_SQL, "op7_warc": _WARC_SQL}
