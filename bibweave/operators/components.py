@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 from bibweave.scratch import Scratch
 
 #: Edges that one task takes on: some tens of MB.
-SMALL_EDGES = 200_000
+SMALL_EDGES = 100_000
 
 
 def _settled(batches):

@@ -15,9 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 #: Used only where the session names no checkpoint folder, as in unit tests.
 LOCAL_DEFAULT = "file:///tmp/bibweave-checkpoints"
 
+#: Rows that Python functions get at a time where rows hold whole texts.
+BATCH_ROWS = 500
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows, unless they are smaller.
+
+    A batch is held by the executor and by its Python worker at once; with the
+    default of 10,000 rows, long texts would take up hundreds of MB in both.
+    """
+    if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; sets the local default where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,16 +52,9 @@ class Scratch:
         self.count += 1
         return f"{self.root}/{self.count}"
 
-    def save(self, df: DataFrame, batch_rows: int | None = None) -> DataFrame:
-        """``batch_rows``: rows that Python functions get at a time, where rows are wide."""
+    def save(self, df: DataFrame) -> DataFrame:
         path, schema = self.path(), df.schema
-        usual = self.spark.conf.get(_BATCH)
-        if batch_rows:
-            self.spark.conf.set(_BATCH, str(min(batch_rows, int(usual))))
-        try:
-            df.write.parquet(path)
-        finally:
-            self.spark.conf.set(_BATCH, usual)
+        df.write.parquet(path)
         out = self.spark.read.schema(schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch_path = path
