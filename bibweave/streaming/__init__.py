@@ -1 +1 @@
-"""See the package README for the layout."""
+"""Empty on purpose: runs of the linkage are batches. ``functions.text.normalise`` works on streams as it is."""
