@@ -32,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from bibweave.scratch import Scratch
+from bibweave.scratch import Scratch, small_batches
 
 #: Characters of text in a block, a longer text excepted.
 BLOCK_CHARS = 12_000_000
 _LONG = 1 << 20
+#: Words put in place at a time.
+_PIECE = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -158,41 +160,41 @@ def _encoded(shared):
     return run
 
 
-def _reassembled(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Documents of one block and the ids of its words -> (id, ids)."""
+def _reassembled(left: pa.Table, right: pa.Table) -> tuple[list, pa.Array]:
+    """Documents of one block and the ids of its words -> ids of the documents, and their token ids."""
     ids, out = [], []
     if left.num_rows:
         counts_of, flat_of, place_of = [], [], []
-        for data, places in zip(right.column("data").to_pylist(), right.column("data2").to_pylist(), strict=True):
+        for i in range(right.num_rows):
+            data = right.column("data")[i].as_py()
             n = int.from_bytes(data[:4], "little")
             counts_of.append(_unpack(data[4 : 4 + n]))
-            flat_of.append(_unpack(data[4 + n :]))
-            place_of.append(_unpack(places))
+            flat_of.append(_unpack(data[4 + n :]).astype(np.int32))
+            place_of.append(_unpack(right.column("data2")[i].as_py()))
         if place_of:
             place, counts, flat = np.concatenate(place_of), np.concatenate(counts_of).astype(np.int64), np.concatenate(flat_of)
             begin = np.zeros(len(place), np.int64)
             begin[place] = np.cumsum(counts) - counts
-            many = np.zeros(len(place), np.int64)
+            many = np.zeros(len(place), np.int32)
             many[place] = counts
         for doc_ids, lens, data in zip(left.column("ids").to_pylist(), left.column("lens").to_pylist(), left.column("data").to_pylist(), strict=True):
             codes = _unpack(data)
             edges = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
-            if len(codes):
-                c = many[codes]
-                ends = np.cumsum(c)
-                got = flat[np.arange(ends[-1]) + np.repeat(begin[codes] - (ends - c), c)]
-                offsets = np.concatenate([[0], ends])[edges]
-            else:
-                got, offsets = np.empty(0, np.uint32), np.zeros(len(edges), np.int64)
+            ends = np.concatenate([[0], np.cumsum(many[codes], dtype=np.int64)]) if len(codes) else np.zeros(1, np.int64)
+            got = np.empty(ends[-1], np.int32)
+            for at in range(0, len(codes), _PIECE):  # small steps: what each needs besides the result stays small
+                part = codes[at : at + _PIECE]
+                lo, hi = ends[at], ends[min(at + _PIECE, len(codes))]
+                got[lo:hi] = flat[np.arange(lo, hi) + np.repeat(begin[part] - ends[at : at + len(part)], many[part])]
             ids += doc_ids
-            out.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(got.astype(np.int32))))
-    lists = pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": lists})
+            out.append(pa.ListArray.from_arrays(pa.array(ends[edges], pa.int32()), pa.array(got)))
+    return ids, pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per document: doc_id, ids (array of int)."""
+def _encoded_blocks(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None, block_chars: int):
+    """Blocks of documents, grouped with the ids of their words."""
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = scratch or Scratch(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
     buckets = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -203,11 +205,41 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None = No
     words = blocks.where("kind = 1").select("block", "bucket", "lens", "data", "data2").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     coded = words.mapInArrow(_encoded(shared), "block long, data binary, data2 binary")
     texts = blocks.where("kind = 0").select("block", "ids", "lens", "data")
-    return texts.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_reassembled, "doc_id long, ids array<int>")
+    return texts.groupBy("block").cogroup(coded.groupBy("block")), shared
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """One row per document: doc_id, ids (array of int)."""
+    grouped, _ = _encoded_blocks(docs, vocabulary, scratch, block_chars)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, tokens = _reassembled(left, right)
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": tokens})
+
+    return grouped.applyInArrow(run, "doc_id long, ids array<int>")
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = False, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Encodes, then decodes what was encoded: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids).
+
+    Both in the worker that puts a block together, so ids are handed on only if they are asked for.
+    """
+    grouped, shared = _encoded_blocks(docs, vocabulary, scratch, block_chars)
+    names, tables = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids], []
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not tables:
+            tables.append(shared.value.token_bytes())
+            tables.append({i: str(i) for i in tables[0]})
+        ids, tokens = _reassembled(left, right)
+        return pa.table([pa.array(ids, pa.int64()), *_digests(tokens, *tables), *[tokens] * keep_ids], names)
+
+    return grouped.applyInArrow(run, _DIGESTS + ", ids array<int>" * keep_ids)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "bytes") -> DataFrame:
     """Adds the decoded bytes; ids that are null or not in the vocabulary give none."""
+    small_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
     schema = StructType([*encoded.schema.fields, StructField(out, BinaryType())])
     at = encoded.columns.index(ids)
@@ -222,23 +254,15 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: st
     return encoded.mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame, vocabulary: Vocabulary, keep_ids: bool = False) -> DataFrame:
-    """Encoded documents -> doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids)."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
+_DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-    def run(batches):
-        table = text = None
-        for batch in batches:
-            if table is None:
-                table = shared.value.token_bytes()
-                text = {i: str(i) for i in table}
-            n, a, b = [], [], []
-            for x in batch.column(1):
-                x = x.as_py()
-                n.append(len(x))
-                a.append(hashlib.sha256(",".join([text[i] for i in x]).encode()).hexdigest())
-                b.append(hashlib.sha256(b"".join([table[i] for i in x])).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b), *[batch.column(1)] * keep_ids], names)
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
+
+def _digests(tokens: pa.Array, table: dict[int, bytes], text: dict[int, str]) -> list[pa.Array]:
+    """Number of ids, SHA-256 of the ids and of the bytes they stand for, of each document."""
+    n, a, b = [], [], []
+    for x in tokens:
+        x = x.as_py()
+        n.append(len(x))
+        a.append(hashlib.sha256(",".join([text[i] for i in x]).encode()).hexdigest())
+        b.append(hashlib.sha256(b"".join([table[i] for i in x])).hexdigest())
+    return [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]

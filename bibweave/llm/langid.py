@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from bibweave.scratch import small_batches
+
 BITS = 16
 ORDERS = (1, 2, 3)
 #: Labelled rows learned from, for each language (the documented bound).
@@ -88,6 +90,7 @@ class Model:
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learns from columns doc_id, text, lang; rows without text or lang are left out."""
+    small_batches(labelled.sparkSession)
     rows = labelled.where("text is not null and lang is not null").select(F.col("lang").cast("string").alias("lang"), "text", F.pmod(F.xxhash64(F.lit(6), F.col("doc_id").cast("string")), F.lit(1 << 30)).alias("_h"))
     many = rows.groupBy("lang").count()
     share = many.select("lang", (F.lit(float(sample_rows)) / F.col("count") * (1 << 30)).alias("_most"))
@@ -137,6 +140,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lan
     Input columns named like the two new ones are replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast((model.languages, model.matrix))
     at = docs.columns.index(text)
     keep = [c for c in docs.columns if c not in (lang, probability)]

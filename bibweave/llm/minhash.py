@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibweave.operators.components import connected_components
-from bibweave.scratch import Scratch
+from bibweave.scratch import Scratch, small_batches
 
 #: 32 bands of 5: a pair at the threshold of 0.8 is missed 3 times in a million.
 BANDS, ROWS = 32, 5
@@ -44,8 +44,6 @@ STAR_ROUNDS, YIELD = 4, 0.05
 LEAST_ESTIMATE = 0.15
 #: Buckets of the table that orders shingles by how frequent they are, whatever the input: 2**18 numbers are broadcast.
 ORDER_BITS = 18
-#: Texts or sets that a Python worker holds at a time.
-BATCH_ROWS = 500
 #: Sets meet only if their sizes allow it: they are dealt by steps of this ratio.
 SIZE_STEP = 1.12
 _M = np.uint64(0xFF51AFD7ED558CCD)
@@ -56,7 +54,7 @@ class _WordHash(dict):
     """Word -> 64-bit hash; forgets everything before it grows large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -227,7 +225,7 @@ def _prefix_pairs(opened: DataFrame, percent: int, scratch: Scratch) -> DataFram
     order = np.zeros(1 << ORDER_BITS, np.int64)
     order[counts["place"].to_numpy()] = counts["n"].to_numpy()
     shared = opened.sparkSession.sparkContext.broadcast(order)
-    keyed = scratch.save(opened.select("id", "c", "shingles").mapInArrow(_keyed(shared, percent), "key long, larger boolean, id long, c long, n int, place int"), BATCH_ROWS)
+    keyed = scratch.save(opened.select("id", "c", "shingles").mapInArrow(_keyed(shared, percent), "key long, larger boolean, id long, c long, n int, place int"))
     # keys of one component only say nothing; elsewhere the largest component's members need not meet each other
     top = keyed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", F.col("top.c").alias("most"))
     mixed = scratch.save(keyed.join(top, "key").withColumn("minor", F.expr("c != most")).drop("most"))
@@ -248,9 +246,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     ``width`` words; ``component_id`` is the smallest doc_id that links lead to.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = scratch or Scratch(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = scratch.save(texts.mapInArrow(_signed(bands, rows, width), "doc_id long, n_shingles long, digest binary, bands array<bigint>, sketch binary"), BATCH_ROWS)
+    signed = scratch.save(texts.mapInArrow(_signed(bands, rows, width), "doc_id long, n_shingles long, digest binary, bands array<bigint>, sketch binary"))
 
     # one row per set: a copy has the same bands and sketch, any of them will do
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).where("id is not null")
@@ -277,11 +276,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         part = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         own = sets.join(part, "id", "left_semi")
         side = lambda i: own.select(F.col("id").alias(i), F.col("shingles").alias(f"s{i}"))
-        return scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"), BATCH_ROWS)
+        return scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"))
 
     if not member.isEmpty():
         ids = member.select("id").distinct()
-        sets = scratch.save(texts.join(ids, texts.doc_id == ids.id, "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "id long, shingles binary"), BATCH_ROWS)
+        sets = scratch.save(texts.join(ids, texts.doc_id == ids.id, "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "id long, shingles binary"))
         compared, links = pairs.count(), confirmed(pairs)
         found = links.count()
         for round_ in range(1, STAR_ROUNDS + 1):

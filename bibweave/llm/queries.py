@@ -27,8 +27,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = vocabulary()
-    return bpe.digests(bpe.encode(_read(spark, sf_dir, "documents"), v), v)
+    return bpe.round_trip(_read(spark, sf_dir, "documents"), vocabulary())
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibweave.scratch import Scratch
+from bibweave.scratch import Scratch, small_batches
 
 NONE, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773
 #: Bytes to a row of the query's images, and rows to a strip.
@@ -306,6 +306,7 @@ def encode(images: list[bytes], width: int = WIDTH, samples: int = 1, compressio
 
 def read_pages(images: DataFrame, image: str, id_col: str) -> DataFrame:
     """One row per page: the id and the columns of PAGE_SCHEMA."""
+    small_batches(images.sparkSession)
     kind = images.schema[id_col].dataType.simpleString()
     names = [id_col, *(x.strip().split(" ")[0] for x in PAGE_SCHEMA.split(","))]
     types = [pa.int32()] * 7 + [pa.binary(), pa.string()]
@@ -337,6 +338,7 @@ def feature(page: dict) -> str:
 
 def store_texts(docs: DataFrame, compression: int = DEFLATE, predictor: int = 2, level: int = 1) -> DataFrame:
     """doc_id, n_bytes, media: each whole text as a TIFF of 192 samples a row."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:

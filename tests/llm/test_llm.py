@@ -117,7 +117,7 @@ def test_bpe_equals_tiktoken(spark, docs, rows):
         ids = enc.encode_ordinary(r["text"] or "")
         expected[(r["doc_id"], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest())] += 1
     for block in (bpe.BLOCK_CHARS, 5000):
-        got = bpe.digests(bpe.encode(docs, v, block_chars=block), v)
+        got = bpe.round_trip(docs, v, block_chars=block)
         assert Counter(map(tuple, got.collect())) == expected
     back = bpe.decode(bpe.encode(docs, v), v).collect()
     assert Counter((r.doc_id, bytes(r.bytes)) for r in back) == Counter((r["doc_id"], (r["text"] or "").encode()) for r in rows)
@@ -475,7 +475,7 @@ def test_empty_tables(spark, docs):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
     model = langid.fit(none)
-    for df in (pii.report(none), pii.redact(none), bpe.digests(bpe.encode(none, v), v), ordinal.grade(none, ordinal.fit(none.selectExpr("doc_id", "text", "1 grade"))), mixing.schedule(none), mixing.mix(none), minhash.near_duplicates(none), minhash.deduplicate(none), langid.identify(none, model), warc.round_trip(pages), tiff.text_round_trip(none), sharding.shard(none), vptree.nearest(vectors, vectors)):
+    for df in (pii.report(none), pii.redact(none), bpe.round_trip(none, v), bpe.encode(none, v), ordinal.grade(none, ordinal.fit(none.selectExpr("doc_id", "text", "1 grade"))), mixing.schedule(none), mixing.mix(none), minhash.near_duplicates(none), minhash.deduplicate(none), langid.identify(none, model), warc.round_trip(pages), tiff.text_round_trip(none), sharding.shard(none), vptree.nearest(vectors, vectors)):
         assert df.count() == 0
 
 
