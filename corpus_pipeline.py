@@ -42,8 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, with the check that they decode to its text."""
-    v = vocabulary()
-    return bpe.digests(bpe.encode(docs, v), v, keep_ids=True)
+    return bpe.round_trip(docs, vocabulary(), keep_ids=True)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("redact_pii", redact_pii), ("mix_sources", mix_sources), ("encode", encode)]
