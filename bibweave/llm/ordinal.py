@@ -40,8 +40,8 @@ SAMPLE_ROWS = 2500
 #: Share of the rows of the upper grade, among those not fitted on, that the threshold for keeping gives up;
 #: it is KEEP at most, and just that with fewer than LEAST_HELD such rows.
 LOSS, KEEP, LEAST_HELD = 0.01, 0.5, 30
-#: Weight of the L1 term, and share of the sample that a word must occur in to count.
-SPARSE, SEEN = 0.006, 0.01
+#: Weight of the L1 term. A word counts if it occurs in LEAST rows of any one grade, or in this share of the sample.
+SPARSE, LEAST, SEEN = 0.006, 3, 0.01
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -149,7 +149,9 @@ def _solve(y: np.ndarray, at: np.ndarray, val: np.ndarray, lens: np.ndarray, gra
     for j in range(grades - 1):
         pull = ((due[:, j] @ weigh) - due[:, j]) * weigh
         lean = np.maximum(lean, np.abs(np.bincount(at, weights=np.repeat(pull, lens) * val, minlength=size) - mean * pull.sum()))
-    usual = (lean > 0.5 * SPARSE * spread) & (np.bincount(at, minlength=size) >= max(2, SEEN * n)) & (spread > 1e-9)
+    rows = np.stack([np.bincount(at[y[who] == g], minlength=size) for g in range(grades)])
+    often = (rows.max(axis=0) >= LEAST) | (rows.sum(axis=0) >= max(2, SEEN * n))
+    usual = (lean > 0.5 * SPARSE * spread) & often & (spread > 1e-9)
     scale = np.where(usual, 1.0 / np.maximum(spread, 1e-9), 0.0)
     mu, held = mean * scale, usual[at]
     at, who, v = at[held], who[held], (val * scale[at])[held]

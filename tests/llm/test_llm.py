@@ -149,6 +149,16 @@ def test_ordinal_awkward(spark, docs, rows):
         assert all(not x.kept and x.tail_prob == 0 for x in got if x.doc_id in (90_001, 90_002, 90_003))
 
 
+def test_ordinal_learns_words_rare_in_the_sample(spark):
+    plain = [f"lorem {i % 37} ipsum {i % 41} dolor {i % 43}" for i in range(2100)]
+    # 8 of 2,100 rows, all of a grade of 100, hold a telling word of their own
+    texts = [(i, t + (" giftwort" if i < 8 else " venomous" if i < 100 else f" {'sunny' if i % 2 else 'rainy'}day"), 1 if i < 100 else 2) for i, t in enumerate(plain)]
+    model = ordinal.fit(spark.createDataFrame(texts, "doc_id long, text string, grade int"), sample_rows=5000)
+    unseen = spark.createDataFrame([(1, "lorem 5 ipsum 6 dolor 7 giftwort"), (2, "lorem 5 ipsum 6 dolor 7 sunnyday")], "doc_id long, text string")
+    got = {r.doc_id: r for r in ordinal.grade(unseen, model).collect()}
+    assert got[1].tail_prob < 0.5 < got[2].tail_prob and not got[1].kept and got[2].kept
+
+
 # 4 mixing
 
 
