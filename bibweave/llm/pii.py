@@ -66,7 +66,7 @@ MORE_GUARD = {
     "email": r"(?i)[(\[{<]at[)\]}>]",
     "ip": r"(?i)[0-9a-f]:[0-9a-f]{1,4}:[0-9a-f]",
     "card": r"[0-9]{4}[ ._/-]?[0-9]{4}[ ._/-]?[0-9]{4}",
-    "phone": r"[0-9]{2}\)?[ .-][0-9]{2,4}[ .-][0-9]{2}",
+    "phone": r"[0-9]{2}(?:\)[ .-]?|[ .-])[0-9]{2,4}[ .-][0-9]{2}",
 }
 #: Words that tell, by kind, and words that tell against.
 TELLING = {

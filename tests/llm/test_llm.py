@@ -2,12 +2,14 @@
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bibweave.llm import bpe, langid, minhash, mixing, ordinal, pii, queries, sharding, tiff, vptree, warc
 from bibweave.scratch import Scratch
@@ -85,6 +87,37 @@ def test_pii_proposals_are_scored(spark):
     assert got[3].spans == got[5].spans == got[6].spans == ""
 
 
+def each_generator(kind):
+    return [(pii.MORE[kind], pii.MORE_GUARD[kind])]
+
+
+def test_pii_guards_let_all_proposals_through(spark):
+    parts = {
+        "email": ["a.b", " ", "(at)", "[AT]", "<at>", "c-d", " [dot] ", "(DOT)", ".", "org"],
+        "ip": ["2001:", "DB8:", "1:", "ffff:", ":", "1", "0", " "],
+        "card": ["4111", "1111", "11111111", "822463", "10005", "1", " ", "-", "_", "."],
+        "phone": ["(555)", "(030)", "(0171)", "0049", "555", "0171", "10", "1234567", "7788", " ", "-", "."],
+    }
+    r = random.Random(3)
+    texts = [(k, "".join(r.choice(p) for _ in range(r.randint(1, 9)))) for k, p in parts.items() for _ in range(4000)] + [("phone", "(555)010-7788")]
+    seen = Counter()
+    for kind in pii.KINDS:
+        df = spark.createDataFrame([(t,) for k, t in texts if k == kind], "t string")
+        for pattern, guard in each_generator(kind):
+            # the guard must hold of the match on its own, whatever else the text holds
+            hit = df.select(F.explode(F.regexp_extract_all("t", F.lit(pattern), F.lit(0))).alias("m")).select("m", F.col("m").rlike(guard).alias("ok")).collect()
+            seen[kind] += len(hit)
+            assert [x.m for x in hit if not x.ok] == []
+    assert all(seen[k] > 20 for k in pii.KINDS), seen
+
+
+def test_pii_bracketed_area_code_without_a_space(spark):
+    lines = [(1, "phone (555)010-7788 now"), (2, "phone (555)010-7788 now, or 12.05.10")]
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(lines, "doc_id long, text string")).collect()}
+    assert got == {1: "phone:6:19", 2: "phone:6:19"}
+    assert [r.text for r in pii.redact(spark.createDataFrame(lines[:1], "doc_id long, text string")).collect()] == ["phone [PHONE] now"]
+
+
 def test_pii_redacts(docs, rows):
     got = pii.redact(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
