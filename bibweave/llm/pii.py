@@ -2,17 +2,18 @@
 
 1. Base rules find e-mail addresses, IPv4 addresses, card and phone numbers; what
    they accept is always redacted.
-2. High-recall generators propose further spans, which may overlap: written-out
-   addresses ("name at host dot org" in brackets), IPv6, national and
-   international phone forms, and card numbers next to other digits or with
-   other separators.
+2. High-recall generators, several patterns a kind, propose further spans, which
+   may overlap: written-out addresses ("name at host dot org" in brackets), IPv6
+   in full and compressed, phone numbers of one group or more, and card numbers
+   (by fours, or 4-6-5) next to other digits or with other separators.
 3. Boosted trees score each proposal from its format (digits, groups, checksum,
    length) and its context (telling words before and after, neighbours). They
    are fitted on the driver on ``EXAMPLES``, a fixed set of labelled lines made
    here, and turned into CASE expressions, so scoring stays in the JVM.
 4. Scores are calibrated (Platt) on the lines kept back, and each kind gets the
    least threshold that keeps ``PRECISION`` there. Accepted proposals that
-   overlap a base span or a better proposal are dropped.
+   overlap a base span are dropped; of the others the longest are taken first
+   (then the likelier), as long as they overlap none taken before.
 
 Positions are code points, ends exclusive. Patterns use possessive parts and
 start anchors, so that runs of any length are read in linear time; they match
@@ -39,6 +40,8 @@ CONTEXT = 32
 CHUNK = 256
 #: Labelled lines made for fitting, for each kind and label.
 LINES = 120
+#: Lines made at a time, one of each form.
+FORMS = 17
 TREES, DEPTH, RATE = 24, 3, 0.3
 
 _W = "A-Za-z0-9._%+-"
@@ -56,17 +59,26 @@ GUARD = {
     "phone": r"\+[0-9]",
 }
 _AT, _DOT = r"\s?(?:\(at\)|\[at\]|\{at\}|<at>)\s?", r"\s?(?:\(dot\)|\[dot\]|\{dot\}|<dot>)\s?"
+#: Generators, several a kind: pattern, and a cheap test that each of its matches passes.
 MORE = {
-    "email": rf"(?i)(?<![{_W}])[{_W}]{{1,64}}+{_AT}[A-Z0-9-]{{1,63}}+(?:(?:{_DOT}|\.)[A-Z0-9-]{{1,63}}+){{1,8}}+",
-    "ip": r"(?i)(?<![0-9a-z:.])(?:[0-9a-f]{1,4}:){3,7}+[0-9a-f]{1,4}(?![0-9a-z:])",
-    "card": r"(?<![0-9])[0-9]{4}(?:([ ._/-])[0-9]{4}\1[0-9]{4}\1|[0-9]{8})[0-9]{1,7}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+.=#_-])(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-]|00[0-9]{1,3}[ .-])(?:[0-9]{2,4}[ .-]){1,3}[0-9]{2,4}(?![0-9A-Za-z])",
-}
-MORE_GUARD = {
-    "email": r"(?i)[(\[{<]at[)\]}>]",
-    "ip": r"(?i)[0-9a-f]:[0-9a-f]{1,4}:[0-9a-f]",
-    "card": r"[0-9]{4}[ ._/-]?[0-9]{4}[ ._/-]?[0-9]{4}",
-    "phone": r"[0-9]{2}(?:\)[ .-]?|[ .-])[0-9]{2,4}[ .-][0-9]{2}",
+    "email": [(rf"(?i)(?<![{_W}])[{_W}]{{1,64}}+{_AT}[A-Z0-9-]{{1,63}}+(?:(?:{_DOT}|\.)[A-Z0-9-]{{1,63}}+){{1,8}}+", r"(?i)[(\[{<]at[)\]}>]")],
+    "ip": [
+        (r"(?i)(?<![0-9a-z:.])(?:[0-9a-f]{1,4}:){3,7}+[0-9a-f]{1,4}(?![0-9a-z:])", r"(?i)[0-9a-f]:[0-9a-f]{1,4}:[0-9a-f]"),
+        # compressed
+        (r"(?i)(?<![0-9a-z:.])(?:(?:[0-9a-f]{1,4}:){1,7}+:(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,5}+)?+|::[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,6}+)(?![0-9a-z:])", "::"),
+    ],
+    "card": [
+        (r"(?<![0-9])[0-9]{4}(?:([ ._/-])[0-9]{4}\1[0-9]{4}\1|[0-9]{8})[0-9]{1,7}(?![0-9])", r"[0-9]{4}[ ._/-]?[0-9]{4}[ ._/-]?[0-9]{4}"),
+        # groups of four, six and the rest
+        (r"(?<![0-9])[0-9]{4}([ ._/-])[0-9]{6}\1[0-9]{4,5}(?![0-9])", r"[0-9]{4}[ ._/-][0-9]{6}[ ._/-][0-9]{4}"),
+    ],
+    "phone": [
+        (r"(?<![0-9A-Za-z+.=#_-])(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-]|00[0-9]{1,3}[ .-])(?:[0-9]{2,4}[ .-]){1,3}[0-9]{2,4}(?![0-9A-Za-z])", r"[0-9]{2}(?:\)[ .-]?|[ .-])[0-9]{2,4}[ .-][0-9]{2}"),
+        # two groups
+        (r"(?<![0-9A-Za-z+.=#_-])(?:\([0-9]{2,5}\)[ ./-]?|[0-9]{2,5}[ ./-])[0-9]{3,9}(?![0-9A-Za-z])", r"[0-9]{2}(?:\)[ ./-]?|[ ./-])[0-9]{3}"),
+        # one group
+        (r"(?<![0-9A-Za-z+.=#_-])[0-9]{9,12}(?![0-9A-Za-z])", "[0-9]{9}"),
+    ],
 }
 #: Words that tell, by kind, and words that tell against.
 TELLING = {
@@ -166,8 +178,8 @@ def proposals(text: Column) -> Column:
     """Array of (kind, start, end, value, x) of all that the generators propose."""
     parts = []
     for kind in KINDS:
-        spans = found(text, MORE[kind], MORE_GUARD[kind], PROPOSE[kind])
-        parts.append(F.transform(spans, _described(kind, text)))
+        for pattern, guard in MORE[kind]:
+            parts.append(F.transform(found(text, pattern, guard, PROPOSE[kind]), _described(kind, text)))
     return F.concat(*parts)
 
 
@@ -178,9 +190,9 @@ def examples(seed: int = 5) -> list[tuple[int, str]]:
     word = lambda: "".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randint(3, 8)))
     say = lambda *x: r.choice(x)
 
-    def card(valid: bool) -> str:
-        body = say("4", "51", "37", "6011") + d(20)
-        body = body[:15]
+    def card(valid: bool, size: int = 16) -> str:
+        body = (say("4", "51", "37", "6011") if size == 16 else say("34", "37")) + d(20)
+        body = body[: size - 1]
         total = sum((int(c) * 2 - 9 * (int(c) > 4)) if i % 2 == 0 else int(c) for i, c in enumerate(reversed(body)))
         check = (-total) % 10
         return body + str(check if valid else (check + r.randint(1, 9)) % 10)
@@ -188,6 +200,9 @@ def examples(seed: int = 5) -> list[tuple[int, str]]:
     def parted(n: str, sep: str) -> str:
         return sep.join(n[i : i + 4] for i in range(0, len(n), 4))
 
+    def parted6(n: str, sep: str) -> str:
+        return sep.join((n[:4], n[4:10], n[10:]))
+
     out: list[tuple[int, str]] = []
     for _ in range(LINES):
         at, dot = say("(at)", "[at]", "{at}"), say("(dot)", "[dot]", "{dot}")
@@ -204,6 +219,15 @@ def examples(seed: int = 5) -> list[tuple[int, str]]:
         out.append((1, f"{say('phone', 'call', 'tel', 'mobile', 'fax')} {tel} {word()}"))
         out.append((0, f"{say('page', 'order', 'version', 'date', 'score', word())} {say(f'{d(4)}-{d(2)}-{d(2)}', f'{d(2)} {d(3)} {d(3)}', f'{d(3)}-{d(2)}-{d(4)}', f'{d(2)}.{d(2)}.{d(4)}')} {word()}"))
         out.append((0, f"{word()} {say(f'{d(3)} {d(3)} {d(3)}', f'{d(4)}-{d(4)}', f'{d(2)}.{d(2)}.{d(4)}')} {word()}"))
+        v6 = [f"{r.getrandbits(16):x}" for _ in range(6)]
+        short = say(f"{v6[0]}:{v6[1]}::{r.randint(1, 255):x}", f"fe80::{':'.join(v6[: r.randint(1, 4)])}", f"2001:db8::{':'.join(v6[: r.randint(1, 3)])}", f"2001:db8:{v6[0]}::", f"::ffff:{v6[1]}:{v6[2]}")
+        out.append((1, f"{say('host', 'server ip', 'connect from', 'login from', word())} {short} {word()}"))
+        out.append((0, f"{say('time', 'date', 'ratio', 'page', word())} {say(f'{d(2)}::{d(2)}', f'{d(1)}::{d(1)}', 'ab::cd', 'add::be', 'dec::', '::a', 'face::feed', '::')} {word()}"))
+        out.append((1, f"{say('card', 'visa', 'pay with', word())} {say(d(2), d(1), d(3))} {parted6(card(True, 15), say(' ', '-', '.'))} {word()}"))
+        out.append((0, f"{say('serial', 'order', 'isbn', word())} {say(d(2), d(1), d(3))} {parted6(card(False, 15), say(' ', '-', '.'))} {word()}"))
+        few = say(f"0{d(3)} {d(7)}", f"0{d(2)} {d(6)}", f"0{d(3)}/{d(6)}", f"(0{d(2)}) {d(7)}", f"(0{d(3)}){d(6)}", f"{say('2', '3', '5', '7', '9')}{d(9)}", f"0{d(10)}", f"{d(3)}-{d(4)}")
+        out.append((1, f"{say('phone', 'call', 'tel', 'mobile', 'fax', 'ruf', 'contact')} {few} {word()}"))
+        out.append((0, f"{say('page', 'order', 'version', 'serial', 'ticket', 'total', word(), word())} {say(d(10), d(9), d(11), f'{d(4)} {d(7)}', f'{d(3)} {d(6)}', f'{d(5)}-{d(4)}', f'{d(4)}/{d(4)}')} {word()}"))
     return out
 
 
@@ -268,7 +292,7 @@ def fit(spark: SparkSession) -> Model:
     rows = spark.range(1).select(F.posexplode(F.split(F.lit(lines), "\n")).alias("i", "line")).select("i", F.substring("line", 1, 1).cast("int").alias("y"), F.expr("substring(line, 3)").alias("text"))
     seen = rows.select("i", "y", F.explode(proposals(F.col("text"))).alias("c")).select("i", "y", "c.kind", "c.x").orderBy("i", "c.start", "c.kind", "c.end").collect()
     x, y = np.array([r["x"] for r in seen]), np.array([float(r["y"]) for r in seen])
-    fitting = np.array([r["i"] // 11 % 3 != 0 for r in seen])
+    fitting = np.array([r["i"] // FORMS % 3 != 0 for r in seen])
     trees, z = [], np.zeros(len(y))
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-z))
@@ -301,7 +325,9 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     scored = f"transform(_p, c -> struct(c.kind AS kind, c.start AS start, c.end AS end, {model.probability('c.x')} AS p))"
     good = f"filter({scored}, c -> c.p >= {limits}[c.kind] AND NOT exists(_base, b -> b.start < c.end AND c.start < b.end))"
     at = at.withColumn("_m", F.expr(f"CASE WHEN size(_p) > 0 THEN {good} END")).drop("_p")
-    best = "filter(_m, c -> NOT exists(_m, o -> o.start < c.end AND c.start < o.end AND (o.p > c.p OR (o.p = c.p AND (o.start < c.start OR (o.start = c.start AND o.kind < c.kind))))))"
+    ranked = "array_sort(transform(_m, c -> struct(c.start - c.end AS r, -c.p AS q, c.start AS start, c.kind AS kind, c.end AS end)))"
+    none = "cast(array() AS array<struct<r:int,q:double,start:int,kind:int,end:int>>)"
+    best = f"aggregate({ranked}, {none}, (acc, c) -> IF(exists(acc, o -> o.start < c.end AND c.start < o.end), acc, concat(acc, array(c))))"
     extra = f"transform({best}, c -> struct(c.kind AS kind, c.start AS start, c.end AS end))"
     return at.withColumn("_all", F.expr(f"CASE WHEN size(_m) > 0 THEN array_sort(concat(_base, {extra})) ELSE _base END")).drop("_m")
 

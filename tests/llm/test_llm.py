@@ -88,7 +88,7 @@ def test_pii_proposals_are_scored(spark):
 
 
 def each_generator(kind):
-    return [(pii.MORE[kind], pii.MORE_GUARD[kind])]
+    return pii.MORE[kind]
 
 
 def test_pii_guards_let_all_proposals_through(spark):
@@ -118,6 +118,21 @@ def test_pii_bracketed_area_code_without_a_space(spark):
     assert [r.text for r in pii.redact(spark.createDataFrame(lines[:1], "doc_id long, text string")).collect()] == ["phone [PHONE] now"]
 
 
+def test_pii_usual_forms(spark):
+    assert len(pii.examples()) == pii.LINES * pii.FORMS
+    private = [
+        ("ip", "server ip", "2001:db8::1"), ("ip", "host", "fe80::1ff:fe23:4567:890a"), ("ip", "connect from", "2001:db8:85a3::8a2e:370:7334"),
+        ("phone", "tel", "0171 1234567"), ("phone", "call", "030 123456"), ("phone", "phone", "5550107788"), ("phone", "phone", "(555)010-7788"), ("phone", "fax", "(030) 1234567"),
+        ("card", "card 12", "3782 822463 10005"), ("card", "visa 7", "3714-496353-98431"),
+    ]
+    lines = [(i, f"{before} {value} today") for i, (_, before, value) in enumerate(private)]
+    got = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(lines, "doc_id long, text string")).collect()}
+    assert got == {i: f"{before} [{kind.upper()}] today" for i, (kind, before, _) in enumerate(private)}
+    plain = ["time 12::30 now", "call add::be twice", "order 1234567890 sent", "pages 1200 1345678 of it", "serial 12 3782 822463 10004 end", "years 2020-2021 and 1999 2000", "a :: b"]
+    got = pii.report(spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.spans) for r in got if r.spans] == []
+
+
 def test_pii_redacts(docs, rows):
     got = pii.redact(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
