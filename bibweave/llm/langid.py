@@ -92,14 +92,17 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learns from columns doc_id, text, lang; rows without text or lang are left out."""
     small_batches(labelled.sparkSession)
     rows = labelled.where("text is not null and lang is not null").select(F.col("lang").cast("string").alias("lang"), "text", F.pmod(F.xxhash64(F.lit(6), F.col("doc_id").cast("string")), F.lit(1 << 30)).alias("_h"))
-    many = rows.groupBy("lang").count()
-    share = many.select("lang", (F.lit(float(sample_rows)) / F.col("count") * (1 << 30)).alias("_most"))
-    sample = rows.join(F.broadcast(share.limit((MATRIX_CELLS >> BITS) + 1)), "lang").where("_h < _most").select("lang", "text")
+    # one language more than fit is enough to know that some would be left out
+    many = rows.groupBy("lang").count().limit((MATRIX_CELLS >> BITS) + 1).collect()
+    if len(many) << BITS > MATRIX_CELLS:
+        raise ValueError(f"more than {MATRIX_CELLS >> BITS} languages")
+    if not many:
+        return Model([], np.zeros((1 << BITS, 0), np.int32))
+    most = F.create_map(*(F.lit(x) for r in many for x in (r["lang"], sample_rows / r["count"] * (1 << 30))))
+    sample = rows.where(F.col("_h") < F.try_element_at(most, F.col("lang"))).select("lang", "text")
     counts = sample.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counts.toArrow()  # languages x buckets at most
     languages = sorted(set(table["lang"].to_pylist()))
-    if len(languages) << BITS > MATRIX_CELLS:
-        raise ValueError(f"{len(languages)} languages: more than {MATRIX_CELLS >> BITS}")
     if not languages:
         return Model([], np.zeros((1 << BITS, 0), np.int32))
     at = {x: i for i, x in enumerate(languages)}

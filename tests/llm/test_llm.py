@@ -380,6 +380,16 @@ def test_langid_held_out(spark):
     assert not spark.range(1).select(F.lit(None).cast("long").alias("id")).select(langid.held_out("id").alias("h")).first().h
 
 
+def test_langid_leaves_out_no_language_in_silence(spark):
+    def fit(n):
+        # every second language has no letters, and so nothing to learn from
+        return langid.fit(spark.createDataFrame([(i, f"word{i} text" if i % 2 else "123", f"l{i:03}") for i in range(n)], "doc_id long, text string, lang string"))
+
+    assert fit(256).languages == [f"l{i:03}" for i in range(1, 256, 2)]
+    with pytest.raises(ValueError):
+        fit(400)
+
+
 # 7 WARC
 
 
