@@ -10,8 +10,8 @@ from bibweave.scratch import Scratch
 
 #: Fixed value: how merged ids are written, before ten digits or more.
 PREFIX = "carticle_"
-#: Rows of the hand-made list of groups that may be compared with each other.
-MANUAL_ROWS = 20_000
+#: Rows of one block of the hand-made list; pairs are made block by block.
+BLOCK_ROWS = 4096
 
 
 def symmetric(unlink: DataFrame) -> DataFrame:
@@ -79,17 +79,20 @@ def assign_ids(groups: DataFrame, previous: DataFrame | None = None, dropped: Da
     return groups.join(named, "root").select("merged_id", "orig_id")
 
 
-def unlink_pairs(groups: DataFrame) -> DataFrame:
+def unlink_pairs(groups: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id1, id2) of all ids that a person put in different groups (manual_id, orig_id), both ways.
 
-    The result is quadratic by its meaning; the list is made by hand, and
-    ValueError is raised if it has more than ``MANUAL_ROWS`` rows.
+    The result is quadratic by its meaning, as every id is told apart from those of all
+    other groups. The list is cut into blocks of about ``block_rows`` by a hash of the row; each
+    pair of blocks is a key of its own, so a task holds two blocks however long the list is.
     """
     groups = groups.select("manual_id", "orig_id").distinct()
-    if groups.limit(MANUAL_ROWS + 1).count() > MANUAL_ROWS:
-        raise ValueError(f"more than {MANUAL_ROWS} rows in the list of groups")
-    other = F.broadcast(groups.select(F.col("manual_id").alias("other"), F.col("orig_id").alias("id2")))
-    return groups.join(other, F.col("manual_id") != F.col("other")).select(F.col("orig_id").alias("id1"), "id2")
+    blocks = max(1, -(-groups.count() // block_rows))
+    every = F.sequence(F.lit(0), F.lit(blocks - 1))
+    own = F.pmod(F.xxhash64("manual_id", "orig_id"), F.lit(blocks)).cast("int")
+    left = groups.select(own.alias("a"), F.explode(every).alias("b"), F.col("manual_id").alias("own"), F.col("orig_id").alias("id1"))
+    right = groups.select(F.explode(every).alias("a"), own.alias("b"), F.col("manual_id").alias("other"), F.col("orig_id").alias("id2"))
+    return left.join(right, ["a", "b"]).where("own != other").select("id1", "id2")
 
 
 def ids_to_drop(sources: DataFrame, unlink: DataFrame) -> DataFrame:

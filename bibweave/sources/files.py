@@ -4,26 +4,59 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from bibweave.scratch import Scratch
+
 #: Rows in a file of the batched JSON writer.
 BATCH_ROWS = 1_000_000
+#: Tables up to this size are dealt anew to give every core work.
+SMALL_BYTES = 64 << 20
+#: Files whose row counts may be broadcast: some 20 MB.
+MOST_FILES = 100_000
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """A table as read from files, its rows dealt to all cores if it has fewer files than these.
+def spread(table: DataFrame, small: int = SMALL_BYTES) -> DataFrame:
+    """A table of at most ``small`` bytes with its rows dealt to all cores; a larger one as it is.
+
+    For costly work on each row: a small file of one row group is one task,
+    however many cores there are. Never more than ``small`` bytes are shuffled.
+    """
+    spark = table.sparkSession
+    held = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return table.repartition(spark.sparkContext.defaultParallelism) if held <= small else table
+
+
+def numbered_rows(df: DataFrame, out: str, scratch: Scratch | None = None) -> DataFrame:
+    """Adds ``out``: 0, 1, ... in the order in which files list the rows of ``df``.
 
-    For costly work on each row of a small table: one file of one row group is
-    one task. Tables of many files stay as they are.
+    A row keeps its number whenever it is read again. Files follow each other in
+    the order of the partitions that wrote them, so what a sorted table was
+    sorted by is the order of these numbers. What is no plain read of files is
+    written first. An input column of that name is replaced.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    names = [c for c in df.columns if c != out]
+    own = uuid.uuid4().hex  # names that no input column has
+    here, row, path = f"h{own}", f"r{own}", f"p{own}"
+    try:
+        at = df.select(*(F.col(f"`{c}`") for c in names), F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:
+        return numbered_rows((scratch or Scratch(df.sparkSession)).save(df), out)
+    name = F.substring_index(path, "/", -1)
+    part = lambda pattern: F.when(name.rlike(pattern), F.regexp_extract(name, pattern, 1).cast("long"))
+    every = Window.partitionBy(F.lit(0)).orderBy(part("^part-([0-9]+)"), part("-c([0-9]+)[.]"), path)
+    # one row for each file; rows of a file are numbered by the reader
+    files = at.groupBy(path).agg(F.count(F.lit(1)).alias("n"))
+    files = files.select(path, F.coalesce(F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(here))
+    few = files.limit(MOST_FILES + 1).count() <= MOST_FILES
+    return at.join(F.broadcast(files) if few else files, path).select(*(F.col(f"`{c}`") for c in names), (F.col(here) + F.col(row)).alias(out))
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

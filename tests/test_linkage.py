@@ -11,6 +11,7 @@ from bibweave import schemas
 from bibweave.operators import checks, identity, match, sampling, simhash
 from bibweave.operators.keys import RULES, STRONG, WEAK, drop_frequent, stacked
 from bibweave.plans import linkage
+from bibweave.scratch import Scratch
 from bibweave.sources import catalogues as C
 from bibweave.sources import files
 
@@ -246,8 +247,37 @@ def test_unlink_pairs(spark):
     df = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "d"), ("2", "e"), ("3", "f"), ("3", "f")], "manual_id string, orig_id string")
     got = [tuple(r) for r in identity.unlink_pairs(df).collect()]
     assert len(got) == 16 == len(set(got)) and {(b, a) for a, b in got} == set(got) and ("a", "b") not in got
-    with pytest.raises(ValueError):
-        identity.unlink_pairs(spark.range(identity.MANUAL_ROWS + 1).selectExpr("'1' AS manual_id", "cast(id as string) AS orig_id"))
+    for block in (1, 2, 3):
+        assert sorted(tuple(r) for r in identity.unlink_pairs(df, block_rows=block).collect()) == sorted(got)
+    assert identity.unlink_pairs(df.where("false")).count() == 0
+
+
+def test_numbered_rows_follow_the_order_of_writing(spark, tmp_path):
+    rows = spark.range(500).select(((F.col("id") * 7919) % 500).alias("v"), F.lit(3).alias("n"), F.lit("x").alias("n_0"))
+    rows.repartitionByRange(12, "v").sortWithinPartitions("v").write.option("maxRecordsPerFile", 17).parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    got = files.numbered_rows(table, "at").collect()
+    assert all(r["at"] == r.v for r in got) and len(got) == 500
+    again = files.numbered_rows(table, "n")
+    assert again.columns == ["v", "n_0", "n"] and all(r.n == r.v for r in again.collect())
+    # not a plain read: written first
+    assert sorted(r["at"] for r in files.numbered_rows(rows.repartition(5), "at").collect()) == list(range(500))
+    assert files.numbered_rows(table.where("false").groupBy("v").count(), "at").count() == 0
+
+
+def test_small_tables_are_dealt_large_ones_stay(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert files.spread(table).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert files.spread(table, small=0) is table
+
+
+def test_scratch_leaves_nothing_behind(spark):
+    with_bucket = Scratch(spark)
+    got = with_bucket.save_by(spark.range(100), "id", 4)
+    assert got.groupBy("id").count().count() == 100 and not spark.catalog.listTables()
+    with_bucket.close()
+    assert not files.exists(spark, with_bucket.root)
 
 
 def test_references(spark):
