@@ -8,10 +8,14 @@ as often as the target asks; a document whose middle word is the u-th part of
 the target is due where ``F(t) = u``, found by inverting F.  Sorting all
 documents by t (a range sort) gives the training order.
 
+Texts are read once, for the number of their words; the schedule is made of rows
+of some fifty bytes, and texts are moved only to where the order puts them.
+
 Defined cases: null, empty and blank texts have size 0, are never taken and
 have no position. Rows with a null source form one source, the last. Repeated
-rows count each for itself. An empty table gives an empty table. Of further
-columns of the input none is read; those asked for in ``carry`` go along.
+rows count each for itself; rows without an id are ordered by their text. An
+empty table gives an empty table. Of further columns of the input none is read;
+``mix`` hands them on, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bibweave.llm.ranking import digits_for, running, source_key
+from bibweave.llm.ranking import digits_for, hashed, running, source_key
+from bibweave.scratch import Scratch
+from bibweave.sources.files import numbered_rows
 
 #: Weights of the sources in code-point order, repeated as needed.
 WEIGHTS = (5, 2, 1)
@@ -59,22 +65,19 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return r.select("source_key", "n", "source_size", target.alias("target"))
 
 
-def schedule(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, slopes=SLOPES, seed: str = SEED, carry: list[str] = ()) -> DataFrame:
+def schedule(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, slopes=SLOPES, seed: str = SEED, row: str | None = None, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, positions.
 
-    ``positions`` are the training positions of its takes (empty if there is none); ``copies`` says how often it is taken. Columns
-    named in ``carry`` follow as ``_c_0``, ``_c_1`` and so on.
+    ``positions`` are the training positions of its takes (empty if there is none); ``copies`` says how often it is taken. The column
+    named ``row`` follows as ``row``, as does ``h``, the hash that orders the source.
     """
-    base = docs.select(
-        F.col("doc_id").alias("doc_id"), source_key().alias("source_key"), words().alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")).alias("h"),
-        *(F.col(f"`{c}`").alias(f"_c_{i}") for i, c in enumerate(carry)),
-    )
-    sources = base.groupBy("source_key").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
-    goal = targets(sources.select("source_key", "source_size"), weights, share, most)
-    digits = digits_for(docs.count())
+    scratch = scratch or Scratch(docs.sparkSession)
+    base = scratch.save(docs.select(F.col("doc_id").alias("doc_id"), source_key().alias("source_key"), words().alias("size"), hashed(seed).alias("h"), *([F.col(row).alias("row")] if row else [])))
+    sources = base.groupBy("source_key").agg(F.sum("size").alias("source_size"))
+    goal = targets(sources, weights, share, most)
+    digits = digits_for(base.count())
     base = base.withColumn("cell", F.substring("h", 1, digits))
-    at = running(base, ["source_key"], "cell", ["h", "size"], "size", "start").join(goal, "source_key")
+    at = running(base, ["source_key"], "cell", digits, ["h", "size"], "size", "start").join(goal, "source_key")
     slope = F.element_at(F.array(*map(F.lit, slopes)), (F.col("n") % len(slopes) + 1).cast("int"))
 
     def due(cycle: int) -> Column:
@@ -85,17 +88,36 @@ def schedule(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
         return F.when((F.col("size") > 0) & (middle < F.col("target")), t)
 
     times = F.filter(F.array(*(due(c) for c in range(most))), lambda t: t.isNotNull())
-    return at.select("doc_id", "size", "source_size", "target", F.size(times).cast("long").alias("copies"), times.alias("positions"), *(f"_c_{i}" for i in range(len(carry))))
+    return at.select("doc_id", "size", "source_size", "target", F.size(times).cast("long").alias("copies"), times.alias("positions"), "h", *(["row"] if row else []))
+
+
+def in_order(plan: DataFrame, position: str, *ties: str) -> DataFrame:
+    """Range-partitioned and sorted by position.
+
+    Positions lie in [0, 1), and schedules integrate to the same demand
+    everywhere, give or take their slopes; so equal steps hold about equal
+    numbers of words, and no sample is needed to find the ranges. Rows without
+    a position are dealt to all parts by their hash.
+    """
+    parts = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.least(F.floor(F.col(position) * parts), F.lit(parts - 1))
+    rest = F.pmod(F.xxhash64(*ties), F.lit(parts))
+    return plan.repartitionById(parts, F.coalesce(own, rest).cast("int")).sortWithinPartitions(position, *ties)
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, position: str | None = None, take: str | None = None, scratch: Scratch | None = None, **options) -> DataFrame:
     """The documents in training order, one row per take, with all their columns.
 
-    A document is emitted as often as it is taken; those not taken go. Rows
-    are range-partitioned and sorted by position.
+    A document is emitted as often as it is taken; those not taken go. Rows are
+    range-partitioned and sorted by position, so a table written of them lists
+    them in training order. ``position`` and ``take`` name columns to add, if these are wanted.
     """
-    names = docs.columns
-    plan = schedule(docs, carry=names, **options)
-    out = plan.select(F.posexplode("positions").alias("_take", "_position"), *(f"_c_{i}" for i in range(len(names))))
-    out = out.repartitionByRange("_position").sortWithinPartitions("_position", "_take")
-    return out.select(*(F.col(f"_c_{i}").alias(c) for i, c in enumerate(names)))
+    scratch = scratch or Scratch(docs.sparkSession)
+    inner = docs.select(*(F.col(f"`{c}`").alias(f"_c_{i}") for i, c in enumerate(docs.columns)))  # input columns keep clear of the ones made here
+    own = {c: F.col(f"_c_{docs.columns.index(c)}").alias(c) for c in ("doc_id", "text", "source")}
+    rows = numbered_rows(inner, "_row", scratch)
+    plan = schedule(rows.select(*own.values(), "_row"), row="_row", scratch=scratch, **options)
+    takes = plan.select(F.col("row").alias("_row"), F.posexplode("positions").alias("_take", "_position"))
+    out = in_order(rows.join(takes, "_row"), "_position", "_row", "_take")
+    more = [F.col(x).alias(name) for x, name in (("_position", position), ("_take", take)) if name]
+    return out.select(*(F.col(f"_c_{i}").alias(c) for i, c in enumerate(docs.columns)), *more)

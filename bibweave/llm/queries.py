@@ -39,8 +39,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.schedule(_read(spark, sf_dir, "documents"))
     first = F.try_element_at("positions", F.lit(1))
-    out = plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), F.round(first, 6).alias("position"))
-    return out.repartitionByRange("position").sortWithinPartitions("position")
+    out = plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), F.round(first, 6).alias("position"), "h")
+    return mixing.in_order(out, "position", "h").drop("h")
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op10_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def sharding_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shards of op9 without the checksum, which plain SQL lacks."""
+    return sharding.shard(_read(spark, sf_dir, "documents")).drop("text_crc32", "grown_shard")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +83,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_pii, op2_bpe, op3_quality, op4_mixing, op5_minhash, op6_langid, op7_warc, op8_tiff, op9_sharding, op10_vptree)
-    return {f.__name__: f for f in own} | {"pipeline": pipeline}
+    parts = (sharding_layout,)
+    return {f.__name__: f for f in (*own, *parts)} | {"pipeline": pipeline}
 
 
 #: The mix in plain SQL: the same order (md5), the same running sums without cells.
@@ -86,7 +92,7 @@ _MIX_SQL = """
 WITH d AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS sk,
          CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END::BIGINT AS size,
-         md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null:' || coalesce(text, ''))) AS h
   FROM documents),
 s AS (SELECT sk, sum(size)::BIGINT AS ss, row_number() OVER (ORDER BY sk) - 1 AS n FROM d GROUP BY sk),
 w AS (SELECT *, [5, 2, 1][(n % 3 + 1)::INT] AS weight, ss * 2 AS cap FROM s),
@@ -130,6 +136,16 @@ g AS (SELECT *, CASE WHEN n >= 1000 THEN nullif(max(page_id) OVER (PARTITION BY
 SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest, CASE WHEN top IS NULL THEN 'response' ELSE 'revisit' END AS record_type, top AS refers_to FROM g
 """
 
+_SHARD_SQL = """
+WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS sk, strlen(coalesce(text, '')) + 1 AS size,
+                  md5('17:' || coalesce(doc_id::VARCHAR, 'null:' || coalesce(text, ''))) AS h, md5(coalesce(text, '')) AS tie FROM documents),
+i AS (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY h, tie) - 1 AS i, count(*) OVER (PARTITION BY sk) AS n FROM d),
+a AS (SELECT *, least((i::HUGEINT * 281474976710656 + ('0x' || substr(md5('17/' || sk), 1, 12))::BIGINT) // n, 281474976710655) AS at FROM i),
+r AS (SELECT *, row_number() OVER (ORDER BY at, sk, h, tie) - 1 AS rank, count(*) OVER () AS whole FROM a),
+s AS (SELECT *, rank * 8 // whole AS shard FROM r)
+SELECT doc_id, size::BIGINT AS size, 'rows' AS law, shard::INT AS shard, (rank - (shard * whole + 7) // 8)::BIGINT AS slot FROM s
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": _MIX_SQL, "op5_minhash": _NEAR_SQL, "op7_warc": _WARC_SQL}
+    return {"sharding_layout": _SHARD_SQL, "op4_mixing": _MIX_SQL, "op5_minhash": _NEAR_SQL, "op7_warc": _WARC_SQL}

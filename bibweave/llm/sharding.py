@@ -11,7 +11,8 @@ source and no shard is ever gathered into one task.
 
 Defined cases: a null text has size 1 (its one separator) and checksum 0, as an
 empty one; null sources form one source; repeated rows each get a slot; an empty
-table gives an empty table. Only doc_id, text and source are read.
+table gives an empty table; rows without an id are ordered by their text. Only
+doc_id, text and source are read.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibweave.llm.ranking import digits_for, running, source_key
+from bibweave.llm.ranking import digits_for, hashed, running, source_key
 
 SHARDS = 8
 SEED = 17
@@ -34,19 +35,16 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
         "doc_id", source_key().alias("source_key"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(raw), F.lit(0)).cast("long").alias("text_crc32"), F.lit(1).cast("long").alias("one"),
-        F.lpad(F.hex(F.xxhash64(F.lit(seed), "doc_id")), 16, "0").alias("h"),
+        hashed(str(seed)).alias("h"), F.md5(F.coalesce(raw, F.lit("").cast("binary"))).alias("tie"),
     ).withColumn("cell", F.substring("h", 1, digits))
     totals = base.groupBy("source_key").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running(base, ["source_key"], "cell", ["h", "text_crc32", "size"], "one", "i").join(totals, "source_key")
-    # 2**48 steps: exact in whole numbers, so that every task sorts alike.
-    unit = 1 << 48
-    phase = F.pmod(F.xxhash64(F.lit(seed + 1), "source_key"), F.lit(unit))
-    ranked = ranked.withColumn("at", F.floor((F.col("i") * F.lit(float(unit)) + phase) / F.col("n")).cast("long"))
-    ranked = ranked.withColumn("at", F.least(F.col("at"), F.lit(unit - 1)))
+    ranked = running(base, ["source_key"], "cell", digits, ["h", "tie"], "one", "i").join(totals, "source_key")
+    # 2**48 steps, in decimals of 38 digits: exact for any number of rows, so that every task sorts alike
+    phase = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/"), "source_key").cast("binary")), 1, 12), 16, 10).cast("decimal(15,0)")
+    at = F.expr(f"(cast(i AS decimal(19,0)) * {1 << 48} + phase) div n")
+    ranked = ranked.withColumn("phase", phase).withColumn("at", F.least(at, F.lit((1 << 48) - 1)))
     ranked = ranked.withColumn("reach", F.substring(F.lpad(F.hex("at"), 12, "0"), 1, digits))
-    order = ["at", "source_key", "h", "text_crc32", "size"]
-    placed = running(ranked.select("doc_id", "size", "text_crc32", "one", "h", "source_key", "at", "reach"), [], "reach", order, "one", "rank")
-    exact = F.expr(f"(rank * {shards}) div {max(rows, 1)}")
-    placed = placed.withColumn("shard", exact.cast("int"))
+    placed = running(ranked.select("doc_id", "size", "text_crc32", "one", "h", "source_key", "at", "reach", "tie"), [], "reach", digits, ["at", "source_key", "h", "tie"], "one", "rank")
+    placed = placed.withColumn("shard", F.expr(f"(rank * {shards}) div {max(rows, 1)}").cast("int"))
     first = F.expr(f"(shard * {max(rows, 1)}L + {shards - 1}) div {shards}")
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("rank") - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
