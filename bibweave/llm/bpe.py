@@ -9,12 +9,19 @@
 
 Pre-aggregating by block keeps the shuffle small: a word that makes up a tenth
 of all tokens crosses it once for each block. Positions don't cross it at all:
-they are written as a table that is bucketed by block, where the ids come to them.  Decoding looks ids up in the
-token-byte table, whose size is that of the vocabulary.
+they are written as a table that is bucketed by block, where the ids come to them.
+A block deals its words to at most ``BUCKETS`` buckets, so that a list holds some
+hundred words however large the corpus; with more partitions than that a bucket
+is dealt to several of them, by block. A task forgets the words that it knows
+before they are more than ``KNOWN``, and encodes them again if they come again:
+its memory does not grow with the vocabulary of the corpus.  Decoding is a join
+with the token-byte table, which is as large as the vocabulary and therefore
+broadcast.
 
 Defined cases: null and empty texts have no ids; repeated rows each get theirs;
 lone surrogates cannot occur in a Spark string; long texts are read whole; an
-empty table gives an empty table. Only the id and text columns are read.
+empty table gives an empty table. Only the id and text columns are read, and
+those asked for in ``carry``, which are handed on as whole numbers.
 """
 
 from __future__ import annotations
@@ -37,6 +44,8 @@ from bibweave.scratch import Scratch, small_batches
 #: Characters of text in a block, a longer text excepted.
 BLOCK_CHARS = 12_000_000
 _LONG = 1 << 20
+#: Buckets at most, and words that a task knows at a time: some 100 MB.
+BUCKETS, KNOWN = 1024, 500_000
 #: Words put in place at a time.
 _PIECE = 100_000
 
@@ -54,7 +63,9 @@ class Vocabulary:
         self.ranks, self.pattern = ranks, pattern
 
     def encoder(self):
-        return tiktoken.Encoding("bpe", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})._core_bpe.encode_single_piece
+        """Word (bytes) -> ids. The pattern has done its work before, so here a word is one match as it stands."""
+        encode = tiktoken.Encoding("bpe", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
+        return lambda word: encode(word.decode("utf-8", "surrogatepass"))
 
     def token_bytes(self) -> dict[int, bytes]:
         return {i: t for t, i in self.ranks.items()}
@@ -89,7 +100,7 @@ def _blocks(pattern: str, buckets: int, block_chars: int):
         stamp = (task.taskAttemptId() + 1) << 24 if task else 1 << 24  # only one attempt's output is kept
         n = 0
 
-        def rows(ids, codes, places):
+        def rows(ids, codes, places):  # ids: of each document, followed by what is carried
             lens = np.array([len(c) for c in codes], np.int64)
             flat = np.concatenate(codes) if codes else np.empty(0, np.uint32)
             block = stamp + n
@@ -110,9 +121,10 @@ def _blocks(pattern: str, buckets: int, block_chars: int):
 
         ids, codes, places, chars = [], [], _Places(), 0
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            carried = [batch.column(i).to_pylist() for i in range(2, batch.num_columns)]
+            for at, (i, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 t = text.as_py() or ""
-                ids.append(i)
+                ids += [i, *(c[at] for c in carried)]
                 if len(t) < _LONG:
                     found = split.findall(t)
                     codes.append(np.fromiter(map(places.__getitem__, found), np.uint32, len(found)))
@@ -149,6 +161,8 @@ def _encoded(shared):
                     at += n
                     ids = known.get(word)
                     if ids is None:
+                        if len(known) >= KNOWN:
+                            known = {}
                         ids = known[word] = encode(word)
                     counts.append(len(ids))
                     flat += ids
@@ -191,18 +205,19 @@ def _reassembled(left: pa.Table, right: pa.Table) -> tuple[list, pa.Array]:
     return ids, pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
 
 
-def _encoded_blocks(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None, block_chars: int):
+def _encoded_blocks(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None, block_chars: int, carry: tuple[str, ...] = ()):
     """Blocks of documents, grouped with the ids of their words."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = scratch or Scratch(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
-    buckets = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    parts = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = min(BUCKETS, parts)
+    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(f"`{c}`").cast("long").alias(f"_c_{i}") for i, c in enumerate(carry)))
     schema = "kind int, block long, bucket int, ids array<bigint>, lens array<bigint>, data binary, data2 binary"
     # dealt by block as it is written: what is large of it, the positions, is not shuffled after that
-    blocks = scratch.save_by(thin.mapInArrow(_blocks(vocabulary.pattern, buckets, block_chars), schema), "block", buckets)
-    words = blocks.where("kind = 1").select("block", "bucket", "lens", "data", "data2").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    blocks = scratch.save_by(thin.mapInArrow(_blocks(vocabulary.pattern, buckets, block_chars), schema), "block", parts)
+    words = blocks.where("kind = 1").select("block", "bucket", "lens", "data", "data2").repartition(parts, "bucket", F.pmod("block", F.lit(-(-parts // buckets)))).sortWithinPartitions("bucket")
     coded = words.mapInArrow(_encoded(shared), "block long, data binary, data2 binary")
     texts = blocks.where("kind = 0").select("block", "ids", "lens", "data")
     return texts.groupBy("block").cogroup(coded.groupBy("block")), shared
@@ -219,28 +234,29 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None = No
     return grouped.applyInArrow(run, "doc_id long, ids array<int>")
 
 
-def round_trip(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = False, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Encodes, then decodes what was encoded: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids).
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = False, carry: tuple[str, ...] = (), scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Encodes, then decodes what was encoded: doc_id, n_tokens, ids_sha256, decoded_sha256 (ids, and what is carried).
 
     Both in the worker that puts a block together, so ids are handed on only if they are asked for.
     """
-    grouped, shared = _encoded_blocks(docs, vocabulary, scratch, block_chars)
-    names, tables = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids], []
+    grouped, shared = _encoded_blocks(docs, vocabulary, scratch, block_chars, carry)
+    names, tables, wide = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids, *carry], [], 1 + len(carry)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not tables:
             tables.append(shared.value.token_bytes())
             tables.append({i: str(i) for i in tables[0]})
         ids, tokens = _reassembled(left, right)
-        return pa.table([pa.array(ids, pa.int64()), *_digests(tokens, *tables), *[tokens] * keep_ids], names)
+        return pa.table([pa.array(ids[::wide], pa.int64()), *_digests(tokens, *tables), *[tokens] * keep_ids, *(pa.array(ids[i::wide], pa.int64()) for i in range(1, wide))], names)
 
-    return grouped.applyInArrow(run, _DIGESTS + ", ids array<int>" * keep_ids)
+    return grouped.applyInArrow(run, _DIGESTS + ", ids array<int>" * keep_ids + "".join(f", `{c}` long" for c in carry))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "bytes") -> DataFrame:
-    """Adds the decoded bytes; ids that are null or not in the vocabulary give none."""
+    """Adds the decoded bytes; ids that are null or not in the vocabulary give none. An input column of that name is replaced."""
     small_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    encoded = encoded.select(*(F.col(f"`{c}`") for c in encoded.columns if c != out))
     schema = StructType([*encoded.schema.fields, StructField(out, BinaryType())])
     at = encoded.columns.index(ids)
 
