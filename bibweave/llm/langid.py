@@ -3,14 +3,22 @@
 Training counts n-grams of 1 to 3 characters (lower-cased, hashed to 2**16
 buckets) for each language on a bounded sample of labelled rows, spread evenly
 over the languages by a hash of the id.  The smoothed log-probabilities, in
-whole 1/1024 nats, form a matrix of languages x buckets; its size is checked
-(``MATRIX_CELLS``) before it is broadcast.  Scoring adds up rows of the matrix
-in whole numbers, so a text gets the same score in any batch.
+whole 1/1024 nats, form a matrix of buckets x languages; the class prior is the
+share of a language among all labelled rows.  The matrix is broadcast in blocks
+of at most ``BLOCK`` languages (64 MB); more languages are scored block after
+block, and the best and the sum of what came before are handed on, so the result
+is that of the whole matrix however many there are.
+
+Scoring takes a batch of texts at once: their n-grams make a sparse matrix of
+texts x buckets, whose product with the log-probabilities is the sum of the
+matrix's rows at these buckets, text by text.  Sums are whole numbers, so a text
+gets the same score in any batch.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as
 is every text if there is nothing to learn from; rows with a null label are not
-learned from; texts are read whole, long ones in overlapping slices; repeated
-rows count each; an empty table gives an empty table.
+learned from, nor are languages whose sampled rows have no letter; texts are read
+whole, long ones in overlapping slices; of languages that score alike the first by
+code point is taken; repeated rows count each; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from bibweave.scratch import small_batches
 
@@ -28,10 +36,11 @@ BITS = 16
 ORDERS = (1, 2, 3)
 #: Labelled rows learned from, for each language (the documented bound).
 SAMPLE_ROWS = 3000
-#: Languages x buckets that may be broadcast: 256 languages.
-MATRIX_CELLS = 256 << BITS
+#: Languages whose log-probabilities are broadcast and scored at a time.
+BLOCK = 256
 UND = "und"
-_SLICE = 1 << 18
+#: Characters in a slice of a long text, and in a batch of the product.
+_SLICE, _CHARS = 1 << 18, 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 _SCALE = 1024.0
 
@@ -42,99 +51,121 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _slices(texts: list[str | None]):
-    """(row, characters as uint32) pieces; slices of a long text overlap by two."""
+    """(rows, lengths, characters, leads) of runs of texts; long ones in slices of which each repeats the ``lead`` last characters."""
+    rows, parts, leads, size = [], [], [], 0
     for i, t in enumerate(texts):
         if t is None or not _LETTER.search(t):
             continue
         t = f" {t.lower()} "
-        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-        if len(c) <= _SLICE:
-            yield i, c, 0
-        else:
-            for at in range(0, len(c), _SLICE):
-                lead = min(at, max(ORDERS) - 1)
-                yield i, c[at - lead : at + _SLICE], lead
-
-
-def _buckets(c: np.ndarray, order: int) -> np.ndarray:
-    n = len(c) - order + 1
+        step = max(ORDERS) - 1
+        for at in range(0, len(t), _SLICE):
+            lead = min(at, step)
+            part = t[at - lead : at + _SLICE]
+            rows.append(i)
+            parts.append(part)
+            leads.append(lead)
+            size += len(part)
+            if size >= _CHARS:
+                yield _joined(rows, parts, leads)
+                rows, parts, leads, size = [], [], [], 0
+    if rows:
+        yield _joined(rows, parts, leads)
+
+
+def _joined(rows: list[int], parts: list[str], leads: list[int]):
+    chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.array(rows), np.array([len(p) for p in parts]), chars, np.array(leads)
+
+
+def _grams(lengths: np.ndarray, chars: np.ndarray, leads: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams of one order, and how many each text has: the sparse matrix, row by row."""
+    n = len(chars) - order + 1
     if n <= 0:
-        return np.empty(0, np.uint32)
-    h = c[:n] * np.uint32(0x9E3779B1)
+        return np.empty(0, np.uint32), np.zeros(len(lengths), np.int64)
+    h = chars[:n] * np.uint32(0x9E3779B1)
     for j in range(1, order):
-        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77) + c[j : j + n]
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77) + chars[j : j + n]
     h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE3D)
-    return h >> np.uint32(32 - BITS)
+    # an n-gram belongs to the text it starts in if it ends there; those that a slice before had are left out
+    ends = np.cumsum(lengths)
+    skip = np.maximum(0, leads - (order - 1))
+    first, last = ends - lengths + skip, ends - (order - 1)
+    last = np.maximum(first, last)
+    inside = np.zeros(len(chars) + 1, np.int64)
+    np.add.at(inside, first, 1)
+    np.add.at(inside, last, -1)
+    return (h >> np.uint32(32 - BITS))[np.cumsum(inside)[:n] > 0], last - first
 
 
 def _counted(batches):
-    """(lang, text) -> (lang, bucket, n), summed over the partition."""
+    """(lang, text) -> (lang, bucket, n), summed over the partition, or over as many languages as fit."""
     total: dict[str, np.ndarray] = {}
+
+    def counts():
+        for lang, row in total.items():
+            at = np.nonzero(row)[0]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(row[at])], ["lang", "bucket", "n"])
+        total.clear()
+
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for i, c, lead in _slices(texts):
-            row = total.setdefault(langs[i], np.zeros(1 << BITS, np.int64))
+        for rows, lengths, chars, leads in _slices(texts):
             for order in ORDERS:
-                row += np.bincount(_buckets(c[max(0, lead - order + 1) :], order), minlength=1 << BITS)
-    for lang, row in total.items():
-        at = np.nonzero(row)[0]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(row[at])], ["lang", "bucket", "n"])
+                b, n = _grams(lengths, chars, leads, order)
+                for i, part in zip(rows, np.split(b, np.cumsum(n)[:-1]), strict=True):
+                    if langs[i] not in total:
+                        if len(total) >= BLOCK:
+                            yield from counts()
+                        total[langs[i]] = np.zeros(1 << BITS, np.int64)
+                    np.add.at(total[langs[i]], part, 1) if len(part) < 1 << 12 else np.add(total[langs[i]], np.bincount(part, minlength=1 << BITS), out=total[langs[i]])
+    yield from counts()
 
 
 class Model:
-    """Languages and their log-probability matrix (buckets x languages, whole numbers)."""
+    """Languages in code-point order; for each block of them the log-probabilities (buckets x languages) and priors, in whole 1/1024 nats."""
 
-    def __init__(self, languages: list[str], matrix: np.ndarray):
-        self.languages, self.matrix = languages, matrix
+    def __init__(self, languages: list[str], blocks: list[tuple[np.ndarray, np.ndarray]]):
+        self.languages, self.blocks = languages, blocks
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, block: int = BLOCK) -> Model:
     """Learns from columns doc_id, text, lang; rows without text or lang are left out."""
     small_batches(labelled.sparkSession)
     rows = labelled.where("text is not null and lang is not null").select(F.col("lang").cast("string").alias("lang"), "text", F.pmod(F.xxhash64(F.lit(6), F.col("doc_id").cast("string")), F.lit(1 << 30)).alias("_h"))
-    # one language more than fit is enough to know that some would be left out
-    many = rows.groupBy("lang").count().limit((MATRIX_CELLS >> BITS) + 1).collect()
-    if len(many) << BITS > MATRIX_CELLS:
-        raise ValueError(f"more than {MATRIX_CELLS >> BITS} languages")
-    if not many:
-        return Model([], np.zeros((1 << BITS, 0), np.int32))
-    most = F.create_map(*(F.lit(x) for r in many for x in (r["lang"], sample_rows / r["count"] * (1 << 30))))
-    sample = rows.where(F.col("_h") < F.try_element_at(most, F.col("lang"))).select("lang", "text")
-    counts = sample.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counts.toArrow()  # languages x buckets at most
-    languages = sorted(set(table["lang"].to_pylist()))
-    if not languages:
-        return Model([], np.zeros((1 << BITS, 0), np.int32))
-    at = {x: i for i, x in enumerate(languages)}
-    dense = np.full((len(languages), 1 << BITS), 0.5)
-    dense[[at[x] for x in table["lang"].to_pylist()], table["bucket"].to_numpy()] += table["n"].to_numpy()
-    log = np.log(dense / dense.sum(axis=1, keepdims=True))
-    return Model(languages, np.ascontiguousarray(np.rint(log.T * _SCALE).astype(np.int32)))
-
-
-def score(texts: list[str | None], model: Model) -> tuple[list[str], list[float]]:
-    sums = np.zeros((len(texts), len(model.languages)), np.int64)
-    seen = np.zeros(len(texts), np.int64)
-    if model.languages:
-        for i, c, lead in _slices(texts):
-            for order in ORDERS:
-                b = _buckets(c[max(0, lead - order + 1) :], order)
-                # how often each bucket occurs matters, not where: short texts add rows, long ones count
-                if len(b) < 1 << 14:
-                    sums[i] += model.matrix[b].sum(axis=0, dtype=np.int64)
-                else:
-                    sums[i] += np.bincount(b, minlength=1 << BITS) @ model.matrix.astype(np.int64)
-                seen[i] += len(b)
-    langs, scores = [], []
-    for s, n in zip(sums, seen, strict=True):
-        if not n:
-            langs.append(UND)
-            scores.append(0.0)
-        else:
-            best = int(s.argmax())
-            langs.append(model.languages[best])
-            scores.append(float(1.0 / np.exp(np.maximum((s - s[best]) / _SCALE, -700)).sum()))
-    return langs, scores
+    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row for each language
+    languages, blocks = [], []
+    for names in (sorted(many)[i : i + block] for i in range(0, len(many), block)):
+        most = F.create_map(*(F.lit(x) for n in names for x in (n, sample_rows / many[n] * (1 << 30))))
+        sample = rows.where(F.col("_h") < F.try_element_at(most, F.col("lang"))).select("lang", "text")
+        table = sample.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages of the block x buckets at most
+        found = sorted(set(table["lang"].to_pylist()))
+        if not found:
+            continue
+        at = {x: i for i, x in enumerate(found)}
+        dense = np.full((len(found), 1 << BITS), 0.5)
+        dense[[at[x] for x in table["lang"].to_pylist()], table["bucket"].to_numpy()] += table["n"].to_numpy()
+        log = np.log(dense / dense.sum(axis=1, keepdims=True))
+        prior = np.log(np.array([many[x] for x in found]) / sum(many.values()))
+        languages += found
+        blocks.append((np.ascontiguousarray(np.rint(log.T * _SCALE).astype(np.int32)), np.rint(prior * _SCALE).astype(np.int64)))
+    return Model(languages, blocks)
+
+
+def sums(texts: list[str | None], matrix: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities of each text with each language of a block, and which texts have n-grams at all."""
+    out = np.tile(prior, (len(texts), 1))
+    seen = np.zeros(len(texts), bool)
+    step = max(1, (1 << 24) // max(1, matrix.shape[1]))  # cells looked up at a time
+    for rows, lengths, chars, leads in _slices(texts):
+        for order in ORDERS:
+            b, n = _grams(lengths, chars, leads, order)
+            own = np.repeat(rows, n)
+            for at in range(0, len(b), step):
+                part, who = b[at : at + step], own[at : at + step]
+                starts = np.concatenate([[0], np.nonzero(np.diff(who))[0] + 1])
+                np.add.at(out, who[starts], np.add.reduceat(matrix[part], starts, axis=0, dtype=np.int64))
+        seen[rows] = True
+    return out, seen
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang_pred", probability: str = "score") -> DataFrame:
@@ -144,16 +175,48 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lan
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.languages, model.matrix))
-    at = docs.columns.index(text)
     keep = [c for c in docs.columns if c not in (lang, probability)]
-    schema = StructType([*(docs.schema[c] for c in keep), StructField(lang, StringType()), StructField(probability, DoubleType())])
+    at = keep.index(text)
+    fields = [docs.schema[c] for c in keep]
+    # best so far (its sum) and the logarithm of the sum of all so far, relative to the best
+    more = [StructField("_best", LongType()), StructField("_all", DoubleType())]
+    out = docs.select(*(F.col(f"`{c}`") for c in keep))
+    names, begin = model.languages, 0
+    for matrix, prior in model.blocks or [(np.zeros((1 << BITS, 0), np.int32), np.zeros(0, np.int64))]:
+        block, begin = names[begin : begin + len(prior)], begin + len(prior)
+        first, last = begin == len(block), begin == len(names)
+        shared = spark.sparkContext.broadcast((block, matrix, prior))
+        out = out.mapInArrow(_scored(shared, at, len(keep), first, last), StructType([*fields, StructField(lang, StringType()), *([StructField(probability, DoubleType())] if last else more)]))
+    return out
+
+
+def _scored(shared, at: int, width: int, first: bool, last: bool):
+    """One block of languages: adds or replaces the best language, and what the next block or the score needs."""
 
     def run(batches):
-        own = Model(*shared.value)
+        block, matrix, prior = shared.value
         for batch in batches:
-            langs, scores = score(batch.column(at).to_pylist(), own)
-            columns = [batch.column(i) for i, c in enumerate(batch.schema.names) if c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema.names)
-
-    return docs.mapInArrow(run, schema)
+            n = batch.num_rows
+            s, seen = sums(batch.column(at).to_pylist(), matrix, prior)
+            found = [None] * n if first else batch.column(width).to_pylist()
+            best = np.full(n, np.iinfo(np.int64).min) if first else batch.column(width + 1).to_numpy()
+            whole = np.full(n, -np.inf) if first else batch.column(width + 2).to_numpy()
+            if len(block) and n:
+                own = s.argmax(axis=1)
+                top = s[np.arange(n), own]
+                with np.errstate(divide="ignore"):
+                    mine = np.log(np.exp(np.maximum((s - top[:, None]) / _SCALE, -700)).sum(axis=1)) + top / _SCALE
+                whole = np.logaddexp(whole, mine)
+                better = seen & (top > best)
+                found = [block[own[i]] if better[i] else found[i] for i in range(n)]
+                best = np.where(better, top, best)
+            columns = [batch.column(i) for i in range(width)]
+            if last:
+                none = np.array([f is None for f in found], bool)
+                score = np.where(none, 0.0, np.exp(np.minimum(0.0, np.where(none, 0, best) / _SCALE - np.where(none, 0.0, whole))))
+                columns += [pa.array([f or UND for f in found], pa.string()), pa.array(score, pa.float64())]
+            else:
+                columns += [pa.array(found, pa.string()), pa.array(best, pa.int64()), pa.array(whole, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))])
+
+    return run
