@@ -6,43 +6,65 @@ returns a DataFrame, which is written as Parquet and read as the next one's docs
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bibweave.llm import bpe, langid, minhash, mixing, pii
 from bibweave.llm.queries import vocabulary
 from bibweave.scratch import Scratch
-from bibweave.sources.files import spread
+from bibweave.sources.files import numbered_rows, spread
 
 #: Models of characters, rules and random orders can't be written as SQL.
 ORACLE_SQL = None
+#: A column that only stands between language identification and its filter.
+SCORE = "_lang_score_of_this_stage"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (``und``) go; the others carry the language found in ``lang``."""
+    """Documents without a letter (``und``) go; the others carry the language found in ``lang``.
+
+    Null and empty texts have no letter. Repeated rows each stay; further columns are handed on.
+    """
     model = langid.fit(docs.where(~langid.held_out()))
-    found = langid.identify(docs, model, lang="_lang_pred", probability="_lang_score").where(F.col("_lang_pred") != langid.UND)
-    return found.withColumn("lang", F.col("_lang_pred")).select(*docs.columns)
+    found = langid.identify(docs.drop("lang"), model, lang="lang", probability=SCORE).where(F.col("lang") != langid.UND)
+    return found.select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    """One document of each group of near duplicates stays, the one with the smallest doc_id.
+
+    Texts without words are alike to none; rows that repeat a doc_id are one document; rows without a doc_id stay.
+    """
     return minhash.deduplicate(docs)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data give way to their kind; n_chars follows."""
+    """Spans of personal data give way to their kind; n_chars follows (null for a null text). All rows stay."""
     return pii.redact(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, as often as the mix takes them."""
+    """Documents in training order, as often as the mix takes them; texts without words are never taken."""
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, with the check that they decode to its text."""
-    return bpe.round_trip(docs, vocabulary(), keep_ids=True)
+    """Token ids of each row, with the check that they decode to its text, in training order.
+
+    ``position`` (0, 1, ...) is the place of the row among the rows of ``docs``,
+    which the stage before wrote in training order; ``take`` says how often the
+    document came before. Rows without a doc_id are each a document of their own.
+    Null and empty texts have no ids.
+    """
+    scratch = Scratch(spark)
+    rows = numbered_rows(docs, "position", scratch)
+    coded = scratch.save(bpe.round_trip(rows, vocabulary(), keep_ids=True, carry=("position",), scratch=scratch))
+    again = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("position"))).orderBy("position")
+    takes = coded.select("position", (F.row_number().over(again) - 1).alias("take"))
+    parts, whole = int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, coded.count())
+    # positions are gapless, so equal ranges of them need no sample
+    part = F.expr(f"(position * {parts}) div {whole}").cast("int")
+    return coded.join(takes, "position").repartitionById(parts, part).sortWithinPartitions("position")
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("redact_pii", redact_pii), ("mix_sources", mix_sources), ("encode", encode)]
