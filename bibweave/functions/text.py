@@ -16,7 +16,8 @@ import sys
 import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -44,9 +45,18 @@ def _bare(text: str) -> str:
     return plain if plain.isascii() else unicodedata.normalize("NFC", plain)
 
 
-@F.pandas_udf(StringType())
-def _unaccented(texts: pd.Series) -> pd.Series:
-    return texts.map(_bare, na_action="ignore")
+def _bare_all(texts: pa.Array) -> pa.Array:
+    """The same for a batch: in Arrow for texts that become ASCII, one by one for the others, which need composing again."""
+    plain = pc.replace_substring_regex(pc.utf8_normalize(pc.utf8_normalize(texts, "NFKC"), "NFD"), r"\p{Mn}+", "")
+    wide = pc.fill_null(pc.match_substring_regex(plain, r"[^\x00-\x7F]"), False)
+    if not pc.any(wide).as_py():
+        return plain
+    return pc.replace_with_mask(plain, wide, pa.array([_bare(t) for t in texts.filter(wide).to_pylist()], plain.type))
+
+
+@F.arrow_udf(StringType())
+def _unaccented(texts: pa.Array) -> pa.Array:
+    return _bare_all(texts)
 
 
 def unaccent(text: Column) -> Column:
@@ -61,12 +71,17 @@ def strip_tags(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("<")) & F.contains(text, F.lit(">")), F.concat(F.regexp_replace(head, "<[^>]++>", ""), tail)).otherwise(text)
 
 
+def strip(text: Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(F.regexp_replace(text, _TAIL, ""), rf"^{_SPACE}+", "")
+
+
 def strip_copyright(text: Column) -> Column:
     """Lower-cases, cuts copyright notices with a year to the end of their line, and trims."""
     out = F.lower(text)
     for pattern in _COPYRIGHT:
         out = F.regexp_replace(out, pattern, "")
-    return F.regexp_replace(F.regexp_replace(out, _TAIL, ""), rf"^{_SPACE}+", "")
+    return strip(out)
 
 
 def _words(text: Column) -> Column:
@@ -95,7 +110,7 @@ def names_key(names: Column) -> Column:
 
 
 def doi_key(doi: Column) -> Column:
-    return F.trim(F.lower(doi))
+    return strip(F.lower(doi))
 
 
 #: What ``normalise`` does to each field; further fields can be added.

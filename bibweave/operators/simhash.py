@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 WIDTH, BITS_APART, BLOCKS = 3, 3, 6
+#: Classes of one key that meet all others of it in one task.
+CROWD = 2048
 _NOT_WORD = re.compile(r"[^\w]+")
 
 
@@ -86,9 +88,14 @@ def near_duplicates(df: DataFrame, id_: str, text: str, shard: str | None = None
     members = df.where(F.col(text).isNotNull()).select(F.col(id_).alias("id"), part.alias("shard"), _fingerprints(F.col(text)).alias("simhash"))
     keyed = members.select("shard", "simhash").distinct().select("shard", "simhash", F.explode(_keys(F.col("simhash"))).alias("k"))
     a = keyed.select("shard", F.col("k.pick").alias("pick"), F.col("k.value").alias("value"), F.col("simhash").alias("class1"))
-    b = a.withColumnRenamed("class1", "class2")
+    keys = ["shard", "pick", "value"]
+    # keys of one class say nothing; of a crowded one the classes are dealt to parts, each of which meets all
+    crowd = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys, F.ceil(F.col("n") / F.lit(CROWD)).cast("int").alias("parts"))
+    shared = a.join(crowd, keys)
+    a = shared.select(*keys, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "class1")
+    b = shared.select(*keys, F.pmod(F.xxhash64("class1"), F.col("parts")).cast("int").alias("part"), F.col("class1").alias("class2"))
     apart = F.bit_count(F.col("class1").bitwiseXOR(F.col("class2")))
-    links = a.join(b, ["shard", "pick", "value"]).where("class1 < class2").where(apart <= BITS_APART).select("shard", "class1", "class2", apart.cast("int").alias("distance")).distinct()
+    links = a.join(b, [*keys, "part"]).where("class1 < class2").where(apart <= BITS_APART).select("shard", "class1", "class2", apart.cast("int").alias("distance")).distinct()
     return members, links
 
 

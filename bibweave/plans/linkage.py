@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,26 +10,67 @@ from pyspark.sql import functions as F
 from bibweave.functions.language import tag
 from bibweave.functions.text import normalise
 from bibweave.operators import checks, identity
-from bibweave.operators.keys import RULES, drop_frequent, stacked
+from bibweave.operators.keys import RULES, drop_frequent, hashed_keys, stacked
 from bibweave.operators.match import all_match_pairs, group_edges, key_pairs
 from bibweave.schemas import DESCRIPTIONS
 from bibweave.scratch import Scratch
 from bibweave.sources import files
 
+#: The table of language tags is kept beside the run that wrote it, not published; the next run is measured by it.
+TAGGED = "all_metadata_with_cld2_lid"
+
 
-@dataclass
 class Linkage:
-    """The tables of one run."""
+    """The tables of one run. Each is worked out, and written, when it is first asked for."""
+
+    def __init__(self, metadata: DataFrame, ids: DataFrame, links: tuple[DataFrame, ...], unlink: DataFrame, previous: DataFrame | None, rules, prefix: str, highest: int, scratch: Scratch):
+        self.metadata, self.ids, self.links, self.unlink, self.previous = metadata, ids, links, unlink, previous
+        self.rules, self.prefix, self.highest, self.scratch = rules, prefix, highest, scratch
+
+    @cached_property
+    def normalised(self) -> DataFrame:
+        return self.scratch.save(normalise(self.metadata))
+
+    @cached_property
+    def filtered(self) -> DataFrame:
+        """Whole rows, their frequent keys nulled."""
+        return drop_frequent(self.normalised, scratch=self.scratch)
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        """Frequent keys are found among hashes alone; no text is shuffled."""
+        slim = self.scratch.save(hashed_keys(normalise(self.metadata)))
+        return self.scratch.save(stacked(drop_frequent(slim, hashed=True, scratch=self.scratch), self.rules, hashed=True))
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return key_pairs(self.keys)
+
+    @cached_property
+    def mapping(self) -> DataFrame:
+        edges = group_edges(self.keys, identity.symmetric(self.unlink))
+        # each id stands for itself: that adds nothing to a group, and none is lost
+        pairs = edges.unionByName(self.metadata.select(F.col("id").alias("id1"), F.col("id").alias("id2")))
+        for x in self.links:
+            pairs = pairs.unionByName(x.toDF("id1", "id2"))
+        groups = identity.match_groups(pairs, self.unlink, self.scratch)
+        dropped = None if self.previous is None else identity.ids_to_drop(self.previous, self.unlink)
+        return self.scratch.save(identity.assign_ids(groups, self.previous, dropped, self.prefix, self.highest, self.scratch))
+
+    @cached_property
+    def sources(self) -> DataFrame:
+        return self.scratch.save(identity.sources(self.mapping, self.metadata))
+
+    @cached_property
+    def references(self) -> DataFrame:
+        return self.scratch.save(identity.references(self.metadata, self.sources))
 
-    ids: DataFrame
-    metadata: DataFrame
-    keys: DataFrame
-    matches: DataFrame
-    mapping: DataFrame
-    sources: DataFrame
-    references: DataFrame
-    checks: DataFrame
-    extra: dict[str, DataFrame] = field(default_factory=dict)
+    @cached_property
+    def checks(self) -> DataFrame:
+        return checks.together(
+            checks.unique_input_ids(self.ids), checks.unique_sources(self.sources), checks.all_ids_survived(self.ids, self.sources), checks.all_matches_survived(self.matches, self.sources, identity.symmetric(self.unlink)),
+            checks.no_nulls(self.references, ("merged_id", "ref_id"), "no_null_references"), checks.no_nulls(self.sources, ("dataset",), "no_null_datasets"),
+        )
 
 
 def link(
@@ -39,52 +80,38 @@ def link(
     """One run over standardised ``metadata``.
 
     ``links`` are pairs that catalogues give, ``unlink`` pairs to keep apart,
-    ``previous`` the sources of the last run. Texts are normalised once and
-    written; from then on keys are shuffled as hashes only. Groups come from
-    star edges, not from all pairs; all pairs are worked out for the check only.
+    ``previous`` the sources of the last run. Texts are normalised once; from
+    then on keys are hashes. Groups come from star edges, not from all pairs;
+    all pairs are worked out for the check only.
     """
-    scratch = scratch or Scratch(spark)
     none = spark.createDataFrame([], "id1 string, id2 string")
-    unlink = none if unlink is None else unlink
-    ids = metadata.select("id").distinct() if ids is None else ids
-    cleaned = scratch.save(normalise(metadata))
-    filtered = drop_frequent(cleaned)
-    keys = scratch.save(stacked(filtered, rules))
-    edges = group_edges(keys, identity.symmetric(unlink))
-    # each id stands for itself: that adds nothing to a group, and none is lost
-    pairs = edges.unionByName(metadata.select(F.col("id").alias("id1"), F.col("id").alias("id2")))
-    for x in links:
-        pairs = pairs.unionByName(x.toDF("id1", "id2"))
-    groups = identity.match_groups(pairs, unlink, scratch)
-    dropped = None if previous is None else identity.ids_to_drop(previous, unlink)
-    mapping = scratch.save(identity.assign_ids(groups, previous, dropped, prefix, highest, scratch))
-    sources = scratch.save(identity.sources(mapping, metadata))
-    references = scratch.save(identity.references(metadata, sources))
-    matches = key_pairs(keys)
-    results = checks.together(
-        checks.unique_input_ids(ids), checks.unique_sources(sources), checks.all_ids_survived(ids, sources), checks.all_matches_survived(matches, sources, identity.symmetric(unlink)),
-        checks.no_nulls(references, ("merged_id", "ref_id"), "no_null_references"), checks.no_nulls(sources, ("dataset",), "no_null_datasets"),
-    )
-    return Linkage(ids, metadata, keys, matches, mapping, sources, references, results, {"normalised": cleaned, "filtered": filtered})
+    return Linkage(metadata, metadata.select("id").distinct() if ids is None else ids, links, none if unlink is None else unlink, previous, rules, prefix, highest, scratch or Scratch(spark))
 
 
 def match_pairs(run: Linkage, *links: DataFrame) -> DataFrame:
-    return all_match_pairs(run.extra["filtered"], run.matches, *links)
+    return all_match_pairs(run.filtered, run.matches, *links)
 
 
 def publish(spark: SparkSession, run: Linkage, root: str, date: str, fields: tuple[str, ...] = ("title", "abstract")) -> None:
-    """Writes to ``{root}/staging``, checks, and only then replaces ``{root}/production`` and keeps a dated copy in ``{root}/backups``.
+    """Writes to ``{root}/staging``, checks, and only then replaces ``{root}/production`` and keeps dated copies in ``{root}/backups``.
 
-    Raises ``checks.GateError`` and leaves production as it is if a gate fails.
+    Begins by removing ``{root}/tmp`` and the mark of the last run, and ends by
+    setting ``{root}/DONE``. The table of language tags stays in staging, where
+    a copy (``_last_run``) serves the next run's comparison. Raises
+    ``checks.GateError`` and leaves production as it is if a gate fails.
     """
-    tables = {"sources": run.sources, "references": run.references, "all_metadata_with_cld2_lid": tag(run.metadata, fields)}
+    files.remove(spark, f"{root}/tmp")
+    files.unmark(spark, f"{root}/DONE")
+    tables = {"sources": run.sources, "references": run.references, TAGGED: tag(run.metadata, fields)}
     staged = {name: files.overwrite_table(df, f"{root}/staging/{name}") for name, df in tables.items()}
     gates = [run.checks]
     for name, df in staged.items():
-        last = f"{root}/production/{name}"
+        last = f"{root}/staging/{TAGGED}_last_run" if name == TAGGED else f"{root}/production/{name}"
         if files.exists(spark, last):
             gates.append(checks.not_shrunk(df, spark.read.parquet(last), f"not_shrunk_{name}"))
     checks.enforce(checks.together(*gates))
     for name in staged:
-        files.copy_table(spark, f"{root}/staging/{name}", f"{root}/production/{name}", description=DESCRIPTIONS[name])
-        files.snapshot(spark, f"{root}/production/{name}", f"{root}/backups", date)
+        target = f"{root}/staging/{name}_last_run" if name == TAGGED else f"{root}/production/{name}"
+        files.copy_table(spark, f"{root}/staging/{name}", target, description=DESCRIPTIONS[name])
+        files.snapshot(spark, f"{root}/staging/{name}", f"{root}/backups", date)
+    files.mark(spark, f"{root}/DONE")

@@ -100,6 +100,21 @@ def previous(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").where("doc_id % 11 != 0").selectExpr("format_string('carticle_%010d', doc_id div 3 + 1) AS merged_id", "concat('doc_', doc_id) AS orig_id", "source AS dataset")
 
 
+def mapped(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for all documents: what judges are shown samples of."""
+    return table(spark, sf, "documents").selectExpr("format_string('carticle_%010d', doc_id div 3 + 1) AS merged_id", "concat('doc_', doc_id) AS orig_id", "source AS dataset")
+
+
+def notices(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose first line ends in a copyright notice, and pages with letters in compatibility forms."""
+    lines = table(spark, sf, "documents").selectExpr(
+        "concat('doc_', doc_id) AS id", "concat(substring_index(text, '\\n', 1), CASE doc_id % 4 WHEN 0 THEN ' Copyright 2019 by all' WHEN 1 THEN ' COPYRIGHT (c) 2020 Press' WHEN 2 THEN ' (C)  1999' ELSE ' copyright 12' END, '\\nmore ', source) AS abstract",
+        "concat(' 10.', n_chars, '/ABC ', CASE doc_id % 2 WHEN 0 THEN '\\t' ELSE '' END) AS doi",
+    )
+    wide = lines.select("id", F.concat("abstract", F.lit(" \ufb01ne \u2460 \uff21\uff22 \u00bd e\u0301")).alias("abstract"), "doi")
+    return wide
+
+
 def unlink(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbouring ids of the labelled documents, kept apart by hand."""
     return table(spark, sf, "labels").where("quality = 0 AND doc_id IS NOT NULL").selectExpr("concat('doc_', doc_id) AS id1", "concat('doc_', doc_id + 1) AS id2").distinct()
@@ -123,6 +138,9 @@ SQL = {
     "lens_v": """SELECT 'L' || p_partkey AS lens_id, p_partkey, p_name AS title, p_type AS abstract, (1990 + p_size)::BIGINT AS year_published, p_size,
         CASE p_type WHEN 'ECONOMY' THEN 'editorial' WHEN 'SMALL' THEN NULL ELSE 'article' END AS publication_type FROM part""",
     "previous_v": """SELECT 'carticle_' || lpad((doc_id // 3 + 1)::VARCHAR, 10, '0') AS merged_id, 'doc_' || doc_id AS orig_id, source AS dataset FROM documents WHERE doc_id % 11 <> 0""",
+    "mapped_v": """SELECT 'carticle_' || lpad((doc_id // 3 + 1)::VARCHAR, 10, '0') AS merged_id, 'doc_' || doc_id AS orig_id, source AS dataset FROM documents""",
+    "notices_v": """SELECT 'doc_' || doc_id AS id, split_part(text, chr(10), 1) || CASE doc_id % 4 WHEN 0 THEN ' Copyright 2019 by all' WHEN 1 THEN ' COPYRIGHT (c) 2020 Press' WHEN 2 THEN ' (C)  1999' ELSE ' copyright 12' END || chr(10) || 'more ' || source AS abstract,
+        ' 10.' || n_chars || '/ABC ' || CASE doc_id % 2 WHEN 0 THEN chr(9) ELSE '' END AS doi FROM documents""",
     "unlink_v": """SELECT DISTINCT 'doc_' || doc_id AS id1, 'doc_' || (doc_id + 1) AS id2 FROM labels WHERE quality = 0""",
 }
 _KEY = lambda c: f"nullif(lower(regexp_replace(strip_accents(regexp_replace({c}, '<([^>]+)>', '', 'g')), '[^\\p{{L}}\\p{{N}}]|[0-9]', '', 'g')), '')"

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ast
+import json
+import time
 import uuid
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from bibweave.scratch import Scratch
 
@@ -64,6 +68,22 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return spark.read.schema(schema).json(path)
 
 
+@F.pandas_udf(StringType())
+def _as_json(lines: pd.Series) -> pd.Series:
+    def one(line: str | None) -> str | None:
+        try:
+            return json.dumps(ast.literal_eval(line)) if line is not None else None
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return None
+
+    return lines.map(one)
+
+
+def read_literals(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One dictionary per line, written as a Python literal (single quotes, None, True); a line that is none gives nulls."""
+    return spark.read.text(path).select(F.from_json(_as_json("value"), schema).alias("r")).select("r.*")
+
+
 def write_json(df: DataFrame, path: str, batch_rows: int = BATCH_ROWS) -> None:
     """Line-delimited JSON, replaced as a whole, with a bounded number of rows in each file."""
     df.write.mode("overwrite").option("maxRecordsPerFile", batch_rows).json(path)
@@ -97,6 +117,26 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file that says that what it stands for is done."""
+    at, fs = _fs(spark, path)
+    fs.mkdirs(at.getParent())
+    fs.create(at, True).close()
+
+
+def unmark(spark: SparkSession, path: str) -> None:
+    remove(spark, path)
+
+
+def wait_for(spark: SparkSession, path: str, timeout: float, every: float = 1.0) -> None:
+    """Returns once the mark is there; TimeoutError if it isn't after ``timeout`` seconds."""
+    until = time.monotonic() + timeout
+    while not exists(spark, path):
+        if time.monotonic() >= until:
+            raise TimeoutError(path)
+        time.sleep(every)
+
+
 def overwrite_table(df: DataFrame, path: str, description: str | None = None, comments: dict[str, str] | None = None) -> DataFrame:
     """Replaces the table at ``path``, also one that ``df`` reads: the new one is written beside it, then takes its name.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bibweave import schemas
 from bibweave.operators import checks, identity, match, sampling, simhash
-from bibweave.operators.keys import RULES, STRONG, WEAK, drop_frequent, stacked
+from bibweave.operators.keys import RULES, STRONG, WEAK, drop_frequent, hashed_keys, stacked
 from bibweave.plans import linkage
 from bibweave.scratch import Scratch
 from bibweave.sources import catalogues as C
@@ -265,6 +265,31 @@ def test_numbered_rows_follow_the_order_of_writing(spark, tmp_path):
     assert files.numbered_rows(table.where("false").groupBy("v").count(), "at").count() == 0
 
 
+def test_frequent_keys_beyond_the_broadcast(spark):
+    rows = [(f"i{i}", f"t{i % 3}" if i < 40 else f"u{i}", None if i % 5 else "x", "d" if i < 9 else "") for i in range(60)]
+    df = spark.createDataFrame([*rows, ("i1", "other", "y", None), ("i1", "t1", "y", None)], "id string, title_norm string, abstract_norm string, clean_doi string")
+    small, large = drop_frequent(df), drop_frequent(df, few=0)
+    assert small.columns == large.columns == df.columns
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    got = {(r.id, r.title_norm) for r in small.collect()}
+    assert ("i0", None) in got and ("i50", "u50") in got and ("i1", "other") in got
+    slim = hashed_keys(df.withColumns({"references": F.lit("a,b,c"), "year": F.lit(1), "last_names_norm": F.lit("n")}))
+    assert sorted(map(str, stacked(drop_frequent(slim, hashed=True), hashed=True).collect())) == sorted(map(str, stacked(drop_frequent(df.withColumns({"references": F.lit("a,b,c"), "year": F.lit(1), "last_names_norm": F.lit("n")}))).collect()))
+
+
+def test_marks_and_literals(spark, tmp_path):
+    at = f"{tmp_path}/a/DONE"
+    with pytest.raises(TimeoutError):
+        files.wait_for(spark, at, 0.1, 0.05)
+    files.mark(spark, at)
+    files.wait_for(spark, at, 0)
+    files.unmark(spark, at)
+    assert not files.exists(spark, at)
+    (tmp_path / "rows").write_text("{'id': 'a\\'b', 'year': 3, 'ok': True, 'none': None}\n{\"id\": 'c'}\nnot a row\n")
+    got = files.read_literals(spark, str(tmp_path / "rows"), "id string, year int, ok boolean, none string").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a'b", 3, True, None), ("c", None, None, None), (None, None, None, None)], key=str)
+
+
 def test_small_tables_are_dealt_large_ones_stay(spark, tmp_path):
     spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
@@ -449,7 +474,7 @@ def test_some_queries_equal_their_sql(spark):
     con = duckdb.connect()
     for t in ("region", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    for name in ("standardise_lens", "standardise_s2", "union_metadata_remapped", "freq_filter", "metadata_match", "merged_ids_incremental", "references", "eval_abstract_prefix", "eval_mapped_references"):
+    for name in ("standardise_lens", "standardise_s2", "union_metadata_remapped", "freq_filter", "metadata_match", "merged_ids_incremental", "check_all_gates", "clean_notices", "eval_positive_matches", "unlink_pairs", "references", "eval_abstract_prefix", "eval_mapped_references"):
         got = own.queries()[name](spark, SF)
         found = con.execute(own.oracle_sql()[name])
         names = [d[0] for d in found.description]

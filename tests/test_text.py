@@ -103,3 +103,36 @@ def test_language(spark):
 
     assert not language.tag(spark.createDataFrame([("x",)], "title string"), ("title",), broken).first().title_cld2_lid_success
     assert language.guess_bytes("é".encode("latin-1")) == "é" == language.guess_bytes("é".encode())
+
+
+def test_learned_detector_on_documents_not_fitted_on(spark):
+    from pyspark.sql import functions as F
+
+    from bibweave.functions.language import Profiles, learn, tag
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null and lang is not null").select("doc_id", F.col("text").alias("title"), "lang")
+    found = learn(docs.where("doc_id % 3 != 0"), "title", "lang")
+    got = tag(docs.where("doc_id % 3 = 0"), ("title",), found).collect()
+    right = [r.lang == r.title_cld2_lid_first_result_short_code for r in got]
+    assert sum(right) > 0.97 * len(right) and sum(r.title_cld2_lid_is_reliable for r in got) > 0.9 * len(got)
+    assert all(r.lang == r.title_cld2_lid_first_result_short_code for r in got if r.title_cld2_lid_is_reliable and len(r.title) > 200)
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 34"), (4, "der Hund und die Katze")], "id int, title string")
+    rows = {r.id: r for r in tag(odd, ("title",), found).collect()}
+    assert not rows[1].title_cld2_lid_success and not rows[2].title_cld2_lid_success and not rows[3].title_cld2_lid_success
+    assert rows[4].title_cld2_lid_success and rows[4].title_cld2_lid_first_result == found("der Hund und die Katze")[0]
+    none = learn(docs.where("false"), "title", "lang")
+    assert isinstance(none, Profiles) and not tag(odd, ("title",), none).where("title_cld2_lid_success").count()
+
+
+def test_batches_are_bared_as_single_texts_are():
+    import sys
+    import unicodedata
+
+    import pyarrow as pa
+
+    from bibweave.functions import text
+
+    # what Python's tables don't know yet may be taken apart by Arrow's
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) != "Cn"]
+    texts = [*every, *(f"a{c}\u0301b" for c in every[:70_000]), None, ""]
+    assert text._bare_all(pa.array(texts)).to_pylist() == [None if t is None else text._bare(t) for t in texts]
