@@ -25,24 +25,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from bibweave.functions.ngrams import BITS, ORDERS, SCALE, counted, grams, log_probabilities, slices, sums  # noqa: F401
 from bibweave.scratch import small_batches
 
-BITS = 16
-ORDERS = (1, 2, 3)
 #: Labelled rows learned from, for each language (the documented bound).
 SAMPLE_ROWS = 3000
 #: Languages whose log-probabilities are broadcast and scored at a time.
 BLOCK = 256
 UND = "und"
-#: Characters in a slice of a long text, and in a batch of the product.
-_SLICE, _CHARS = 1 << 18, 1 << 18
-_LETTER = regex.compile(r"\p{L}")
-_SCALE = 1024.0
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -50,77 +44,6 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def _slices(texts: list[str | None]):
-    """(rows, lengths, characters, leads) of runs of texts; long ones in slices of which each repeats the ``lead`` last characters."""
-    rows, parts, leads, size = [], [], [], 0
-    for i, t in enumerate(texts):
-        if t is None or not _LETTER.search(t):
-            continue
-        t = f" {t.lower()} "
-        step = max(ORDERS) - 1
-        for at in range(0, len(t), _SLICE):
-            lead = min(at, step)
-            part = t[at - lead : at + _SLICE]
-            rows.append(i)
-            parts.append(part)
-            leads.append(lead)
-            size += len(part)
-            if size >= _CHARS:
-                yield _joined(rows, parts, leads)
-                rows, parts, leads, size = [], [], [], 0
-    if rows:
-        yield _joined(rows, parts, leads)
-
-
-def _joined(rows: list[int], parts: list[str], leads: list[int]):
-    chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.array(rows), np.array([len(p) for p in parts]), chars, np.array(leads)
-
-
-def _grams(lengths: np.ndarray, chars: np.ndarray, leads: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of one order, and how many each text has: the sparse matrix, row by row."""
-    n = len(chars) - order + 1
-    if n <= 0:
-        return np.empty(0, np.uint32), np.zeros(len(lengths), np.int64)
-    h = chars[:n] * np.uint32(0x9E3779B1)
-    for j in range(1, order):
-        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77) + chars[j : j + n]
-    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE3D)
-    # an n-gram belongs to the text it starts in if it ends there; those that a slice before had are left out
-    ends = np.cumsum(lengths)
-    skip = np.maximum(0, leads - (order - 1))
-    first, last = ends - lengths + skip, ends - (order - 1)
-    last = np.maximum(first, last)
-    inside = np.zeros(len(chars) + 1, np.int64)
-    np.add.at(inside, first, 1)
-    np.add.at(inside, last, -1)
-    return (h >> np.uint32(32 - BITS))[np.cumsum(inside)[:n] > 0], last - first
-
-
-def _counted(batches):
-    """(lang, text) -> (lang, bucket, n), summed over the partition, or over as many languages as fit."""
-    total: dict[str, np.ndarray] = {}
-
-    def counts():
-        for lang, row in total.items():
-            at = np.nonzero(row)[0]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(row[at])], ["lang", "bucket", "n"])
-        total.clear()
-
-    for batch in batches:
-        langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for rows, lengths, chars, leads in _slices(texts):
-            for order in ORDERS:
-                b, n = _grams(lengths, chars, leads, order)
-                for i, part in zip(rows, np.split(b, np.cumsum(n)[:-1]), strict=True):
-                    if langs[i] not in total:
-                        if len(total) >= BLOCK:
-                            yield from counts()
-                        total[langs[i]] = np.zeros(1 << BITS, np.int64)
-                    np.add.at(total[langs[i]], part, 1) if len(part) < 1 << 12 else np.add(total[langs[i]], np.bincount(part, minlength=1 << BITS), out=total[langs[i]])
-    yield from counts()
-
-
 class Model:
     """Languages in code-point order; for each block of them the log-probabilities (buckets x languages) and priors, in whole 1/1024 nats."""
 
@@ -137,37 +60,16 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, block: int = BLOCK)
     for names in (sorted(many)[i : i + block] for i in range(0, len(many), block)):
         most = F.create_map(*(F.lit(x) for n in names for x in (n, sample_rows / many[n] * (1 << 30))))
         sample = rows.where(F.col("_h") < F.try_element_at(most, F.col("lang"))).select("lang", "text")
-        table = sample.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages of the block x buckets at most
+        table = sample.mapInArrow(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages of the block x buckets at most
         found = sorted(set(table["lang"].to_pylist()))
         if not found:
             continue
-        at = {x: i for i, x in enumerate(found)}
-        dense = np.full((len(found), 1 << BITS), 0.5)
-        dense[[at[x] for x in table["lang"].to_pylist()], table["bucket"].to_numpy()] += table["n"].to_numpy()
-        log = np.log(dense / dense.sum(axis=1, keepdims=True))
         prior = np.log(np.array([many[x] for x in found]) / sum(many.values()))
         languages += found
-        blocks.append((np.ascontiguousarray(np.rint(log.T * _SCALE).astype(np.int32)), np.rint(prior * _SCALE).astype(np.int64)))
+        blocks.append((log_probabilities(table, found), np.rint(prior * SCALE).astype(np.int64)))
     return Model(languages, blocks)
 
 
-def sums(texts: list[str | None], matrix: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probabilities of each text with each language of a block, and which texts have n-grams at all."""
-    out = np.tile(prior, (len(texts), 1))
-    seen = np.zeros(len(texts), bool)
-    step = max(1, (1 << 24) // max(1, matrix.shape[1]))  # cells looked up at a time
-    for rows, lengths, chars, leads in _slices(texts):
-        for order in ORDERS:
-            b, n = _grams(lengths, chars, leads, order)
-            own = np.repeat(rows, n)
-            for at in range(0, len(b), step):
-                part, who = b[at : at + step], own[at : at + step]
-                starts = np.concatenate([[0], np.nonzero(np.diff(who))[0] + 1])
-                np.add.at(out, who[starts], np.add.reduceat(matrix[part], starts, axis=0, dtype=np.int64))
-        seen[rows] = True
-    return out, seen
-
-
 def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang_pred", probability: str = "score") -> DataFrame:
     """All columns and rows of ``docs``, with the predicted language and its probability.
 
@@ -205,7 +107,7 @@ def _scored(shared, at: int, width: int, first: bool, last: bool):
                 own = s.argmax(axis=1)
                 top = s[np.arange(n), own]
                 with np.errstate(divide="ignore"):
-                    mine = np.log(np.exp(np.maximum((s - top[:, None]) / _SCALE, -700)).sum(axis=1)) + top / _SCALE
+                    mine = np.log(np.exp(np.maximum((s - top[:, None]) / SCALE, -700)).sum(axis=1)) + top / SCALE
                 whole = np.logaddexp(whole, mine)
                 better = seen & (top > best)
                 found = [block[own[i]] if better[i] else found[i] for i in range(n)]
@@ -213,7 +115,7 @@ def _scored(shared, at: int, width: int, first: bool, last: bool):
             columns = [batch.column(i) for i in range(width)]
             if last:
                 none = np.array([f is None for f in found], bool)
-                score = np.where(none, 0.0, np.exp(np.minimum(0.0, np.where(none, 0, best) / _SCALE - np.where(none, 0.0, whole))))
+                score = np.where(none, 0.0, np.exp(np.minimum(0.0, np.where(none, 0, best) / SCALE - np.where(none, 0.0, whole))))
                 columns += [pa.array([f or UND for f in found], pa.string()), pa.array(score, pa.float64())]
             else:
                 columns += [pa.array(found, pa.string()), pa.array(best, pa.int64()), pa.array(whole, pa.float64())]

@@ -12,8 +12,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from bibweave.functions import ngrams
 from bibweave.llm import bpe, langid, minhash, mixing, ordinal, pii, queries, sharding, tiff, vptree, warc
 from bibweave.scratch import Scratch
+from bibweave.sources import files as files_
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, kind string, _base string, _c_0 int, key int"
@@ -50,6 +52,12 @@ def rows(docs):
 # 1 PII
 
 
+@pytest.fixture(scope="module")
+def made(spark):
+    """Trees fitted on the made lines alone."""
+    return pii.fit(spark.createDataFrame([], "doc_id long, text string"))
+
+
 def base_spans(text):
     text = text or ""
     found = defaultdict(list)
@@ -68,22 +76,22 @@ def base_spans(text):
     return found
 
 
-def test_pii_base_rules(docs, rows):
+def test_pii_base_rules(docs, rows, made):
     expected = Counter()
     for r in rows:
         f = base_spans(r["text"])
         line = ",".join(f"{k}:{a}:{b}" for k in pii.BASE_KINDS for a, b in f[k])
         expected[(r["doc_id"], *(len(f[k]) for k in pii.BASE_KINDS), hashlib.sha256(line.encode()).hexdigest())] += 1
-    got = pii.report(docs).collect()
+    got = pii.report(docs, made).collect()
     assert Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == expected
     for r in got:  # base spans stay
         if r.n_added == 0:
             assert hashlib.sha256(r.spans.encode()).hexdigest() == r.base_sha256
 
 
-def test_pii_proposals_are_scored(spark):
+def test_pii_proposals_are_scored(spark, made):
     lines = [(1, "contact jane.roe [at] example [dot] org today"), (2, "phone (555) 010-7788 now"), (3, "the year 2021-04-05 and 1 2 3"), (4, "server ip 2001:db8:85a3:1:2:8a2e:370:7334 up"), (5, "time 10:20:30:40 end"), (6, "no such thing")]
-    got = {r.doc_id: r for r in pii.report(spark.createDataFrame(lines, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in pii.report(spark.createDataFrame(lines, "doc_id long, text string"), made).collect()}
     assert got[1].spans.startswith("email:8:") and got[2].spans.startswith("phone:6:") and got[4].spans.startswith("ip:")
     assert got[3].spans == got[5].spans == got[6].spans == ""
 
@@ -113,14 +121,14 @@ def test_pii_guards_let_all_proposals_through(spark):
     assert all(seen[k] > 20 for k in pii.KINDS), seen
 
 
-def test_pii_bracketed_area_code_without_a_space(spark):
+def test_pii_bracketed_area_code_without_a_space(spark, made):
     lines = [(1, "phone (555)010-7788 now"), (2, "phone (555)010-7788 now, or 12.05.10")]
-    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(lines, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(lines, "doc_id long, text string"), made).collect()}
     assert got == {1: "phone:6:19", 2: "phone:6:19"}
-    assert [r.text for r in pii.redact(spark.createDataFrame(lines[:1], "doc_id long, text string")).collect()] == ["phone [PHONE] now"]
+    assert [r.text for r in pii.redact(spark.createDataFrame(lines[:1], "doc_id long, text string"), model=made).collect()] == ["phone [PHONE] now"]
 
 
-def test_pii_usual_forms(spark):
+def test_pii_usual_forms(spark, made):
     assert {e[:2] for e in pii.examples()} == {(k, y) for k in range(len(pii.KINDS)) for y in (0, 1)} and pii.examples() == pii.examples()
     private = [
         ("ip", "server ip", "2001:db8::1"), ("ip", "host", "fe80::1ff:fe23:4567:890a"), ("ip", "connect from", "2001:db8:85a3::8a2e:370:7334"),
@@ -128,10 +136,10 @@ def test_pii_usual_forms(spark):
         ("card", "card 12", "3782 822463 10005"), ("card", "visa 7", "3714-496353-98431"),
     ]
     lines = [(i, f"{before} {value} today") for i, (_, before, value) in enumerate(private)]
-    got = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(lines, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(lines, "doc_id long, text string"), model=made).collect()}
     assert got == {i: f"{before} [{kind.upper()}] today" for i, (kind, before, _) in enumerate(private)}
     plain = ["time 12::30 now", "call add::be twice", "order 1234567890 sent", "pages 1200 1345678 of it", "serial 12 3782 822463 10004 end", "years 2020-2021 and 1999 2000", "a :: b"]
-    got = pii.report(spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")).collect()
+    got = pii.report(spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string"), made).collect()
     assert [(r.doc_id, r.spans) for r in got if r.spans] == []
 
 
@@ -144,8 +152,8 @@ def test_pii_redacts(docs, rows):
     assert "@" not in by[90_004]
 
 
-def test_pii_trees_in_sql_equal_numpy(spark):
-    m = pii.fit(spark.createDataFrame([], "doc_id long, text string"))
+def test_pii_trees_in_sql_equal_numpy(spark, made):
+    m = made
     x = spark.createDataFrame([([float(i % 5), *(float(i % (j + 2)) for j in range(1, len(pii.FEATURES)))],) for i in range(50)], "x array<double>")
     got = [r.p for r in x.select(F.expr(m.probability("cast(x[0] as int)", "x")).alias("p")).collect()]
     assert np.allclose(got, m.scores(np.array([r.x for r in x.collect()])))
@@ -217,6 +225,20 @@ def test_bpe_equals_tiktoken(spark, docs, rows):
     assert Counter((r.doc_id, bytes(r.bytes)) for r in back) == Counter((r["doc_id"], (r["text"] or "").encode()) for r in rows)
 
 
+def test_bpe_in_order(spark, docs, rows):
+    v = queries.vocabulary()
+    numbered = files_.numbered_rows(docs, "at")
+    plain = {r.at: r for r in bpe.round_trip(numbered, v, keep_ids=True, carry=("at",)).collect()}
+    for block in (bpe.BLOCK_CHARS, 4000):
+        got = bpe.round_trip_in_order(numbered, v, "at", "nth", block_chars=block).collect()
+        assert [r.at for r in got] == list(range(len(rows)))
+        seen = Counter()
+        for r in got:
+            assert (r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, r.ids) == tuple(plain[r.at])[:5] and r.nth == seen[r.doc_id]
+            seen[r.doc_id] += r.doc_id is not None
+    assert max(seen.values()) == 2 and bpe.round_trip_in_order(numbered.where("false"), v, "at", "nth").count() == 0
+
+
 # 3 quality
 
 
@@ -243,6 +265,45 @@ def test_ordinal_awkward(spark, docs, rows):
         assert all(not x.kept and x.tail_prob == 0 for x in got if x.doc_id in (90_001, 90_002, 90_003))
 
 
+def test_ordinal_solver_finds_the_optimum(monkeypatch):
+    """Against plain gradient descent on the same loss, without the L1 term."""
+    monkeypatch.setattr(ordinal, "SPARSE", 0.0)
+    rng = np.random.default_rng(5)
+    n, d = 400, 4
+    x = rng.integers(0, 3, (n, d)).astype(float) * (rng.random((n, d)) < 0.7)
+    y = np.digitize(x @ np.array([1.0, -0.7, 0.3, 0.0]) + rng.logistic(size=n), [-0.5, 1.0])
+    who, cols = np.nonzero(x)
+    lens = np.bincount(who, minlength=n)
+    model = ordinal._solve(y, cols * 1000 + 7, x[who, cols], lens, 3, 4000)
+    weigh = (1.0 / np.sqrt(np.bincount(y)))[y]
+    weigh /= weigh.sum()
+    w, theta = np.zeros(d), np.array([-0.5, 0.5])
+    due = y[:, None] > np.arange(2)
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(theta - (x @ w)[:, None]))
+        e = (p - due) * weigh[:, None]
+        w, theta = w - 0.5 * (x.T @ e.sum(axis=1)), theta + 0.5 * e.sum(axis=0)
+    expected = 1 / (1 + np.exp(theta - (x @ w)[:, None]))
+    got = np.array([model.tails((cols[who == i] * 1000 + 7, x[i, cols[who == i]])) for i in range(n)])
+    assert np.abs(got - expected).max() < 0.01 and (np.diff(model.thresholds) > 0).all()
+
+
+def test_ordinal_query_and_its_sample(spark):
+    sf = "/root/testdata/sf0.01"
+    got = queries.op3_quality(spark, sf).collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct()
+    clean = {r.doc_id for r in labels.collect()}
+    assert sum(r.kept for r in got if r.doc_id in clean) > 0.95 * len(clean)
+    # about so many of each grade, each once, the same at every call
+    rated = spark.range(30_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("grade"))
+    some = ordinal.sampled(rated.unionByName(rated).unionByName(spark.createDataFrame([(None, 1), (5, None)], "doc_id long, grade int")), 500)
+    counts = Counter(r.grade for r in some.collect())
+    assert all(400 < counts[g] < 600 for g in range(3)) and some.distinct().count() == some.count()
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, ordinal.sampled(rated.repartition(7), 500).collect()))
+
+
 def test_ordinal_learns_words_rare_in_the_sample(spark):
     plain = [f"lorem {i % 37} ipsum {i % 41} dolor {i % 43}" for i in range(2100)]
     # 8 of 2,100 rows, all of a grade of 100, hold a telling word of their own
@@ -383,6 +444,29 @@ def test_minhash_deduplicate(docs, rows):
     assert sorted(r.doc_id for r in got.where("doc_id is not null").collect()) == sorted(set(group.values()))
 
 
+def test_minhash_deduplicate_any_column_names(spark):
+    rows = [(i, "a b c d e f g " * 3 + str(i // 2), 1, 2, "x", 3) for i in range(6)]
+    got = minhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, _kept int, id int, key string, component_id int"))
+    assert got.columns == ["doc_id", "text", "_kept", "id", "key", "component_id"] and got.count() == len(set(brute_groups([{"doc_id": r[0], "text": r[1]} for r in rows], 5)[1].values()))
+
+
+def test_minhash_crowded_prefixes_are_cut_into_parts(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(100)]
+    texts = []
+    for i in range(90):
+        w = list(base)
+        for at in rng.choice(100, int(rng.integers(2, 12)), replace=False):
+            w[at] = f"m{i}x{at}"
+        texts.append(" ".join(w))
+    rows = [{"doc_id": i, "text": t} for i, t in enumerate(texts)]
+    _, group = brute_groups(rows)
+    for crowd in (1024, 4):
+        monkeypatch.setattr(minhash, "CROWD", crowd)
+        got = minhash.near_duplicates(spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string"), width=4).collect()
+        assert {r.doc_id: r.component_id for r in got} == group
+
+
 def test_circulant_signature_estimates_jaccard():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
@@ -457,7 +541,7 @@ def brute_bayes(labelled, texts):
         for order in (1, 2, 3):
             for i in range(len(c) - order + 1):
                 g = np.array([ord(x) for x in c[i : i + order]], np.uint32)
-                yield int(langid._grams(np.array([order]), g, np.array([0]), order)[0][0])
+                yield int(ngrams.grams(np.array([order]), g, np.array([0]), order)[0][0])
 
     letters = lambda t: t is not None and re.search(r"[^\W\d_]", t)
     counts, docs = defaultdict(Counter), Counter()
@@ -498,11 +582,11 @@ def test_langid_equals_brute_force(spark):
 def test_langid_slices_of_long_texts(spark):
     text = " ".join(f"wort{i} é" for i in range(60_000))
     chars = np.frombuffer(f" {text} ".encode("utf-32-le"), np.uint32)
-    for order in langid.ORDERS:
-        whole = np.bincount(langid._grams(np.array([len(chars)]), chars, np.array([0]), order)[0], minlength=1 << langid.BITS)
-        parts = [langid._grams(n, c, lead, order)[0] for _, n, c, lead in langid._slices(["ab", text, None, "cd"])]
-        small = [langid._grams(n, c, lead, order)[0] for _, n, c, lead in langid._slices(["ab", "cd"])]
-        assert (np.bincount(np.concatenate(parts), minlength=1 << langid.BITS) - np.bincount(np.concatenate(small), minlength=1 << langid.BITS) == whole).all()
+    for order in ngrams.ORDERS:
+        whole = np.bincount(ngrams.grams(np.array([len(chars)]), chars, np.array([0]), order)[0], minlength=1 << ngrams.BITS)
+        parts = [ngrams.grams(n, c, lead, order)[0] for _, n, c, lead in ngrams.slices(["ab", text, None, "cd"])]
+        small = [ngrams.grams(n, c, lead, order)[0] for _, n, c, lead in ngrams.slices(["ab", "cd"])]
+        assert (np.bincount(np.concatenate(parts), minlength=1 << ngrams.BITS) - np.bincount(np.concatenate(small), minlength=1 << ngrams.BITS) == whole).all()
 
 
 def test_langid_any_number_of_languages(spark):
@@ -656,9 +740,46 @@ def test_tiff_damaged(spark):
     got = tiff.read_pages(spark.createDataFrame(images, "id long, image binary"), "image", "id").collect()
     pages = Counter((r.id, r.error is None) for r in got)
     assert pages == {(1, True): 2, (4, False): 1, (5, True): 1, (6, True): 1, (6, False): 1, (7, False): 1}
+    assert {r.page for r in got if r.id == 6} == {0, 1}
     assert tiff.lzw_decode(tiff.lzw_encode(bytes(range(256)) * 300), 76800) == bytes(range(256)) * 300
 
 
+def test_tiff_any_tag_may_lie():
+    """Each tag of the first page of two set to 0 and to a huge number: an error row or a page, and the second page all the same."""
+    for compression, tile in ((tiff.LZW, None), (tiff.DEFLATE, (64, 16)), (tiff.NONE, None), (tiff.PACKBITS, (64, 16))):
+        good = tiff.encode([b"a" * 192 * 4, b"b" * 192], compression=compression, tile=tile, samples=1)
+        first = int.from_bytes(good[4:8], "little")
+        n = int.from_bytes(good[first : first + 2], "little")
+        for i in range(n):
+            at = first + 2 + 12 * i
+            for where, size in ((at + 8, 4), (at + 4, 4), (at + 2, 2)):  # value, count, type
+                for value in (0, 1, 3, 0x7FFF, 0xFFFF, 0x7FFFFFFF, 0xFFFFFFFF):
+                    bad = bytearray(good)
+                    bad[where : where + size] = (value % (1 << (8 * size))).to_bytes(size, "little")
+                    got = list(tiff.pages(bytes(bad)))
+                    assert got and all((p["error"] is None) == (p["pixels"] is not None) for p in got)
+                    assert all(len(p["pixels"]) <= 1 << 20 for p in got if p["pixels"] is not None)
+                    if got[0]["error"] and "tag points" not in got[0]["error"]:
+                        assert got[1]["pixels"] == b"b" * 192
+    for seed in range(300):  # bytes at random
+        r = random.Random(seed)
+        bad = bytearray(good)
+        for _ in range(r.randint(1, 6)):
+            bad[r.randrange(len(bad))] = r.randrange(256)
+        list(tiff.pages(bytes(bad)))
+
+
+def test_tiff_forms():
+    seen = set()
+    for i in range(40):
+        raw = f"text {i} ".encode() * (i * 700 + 24)
+        raw = raw.ljust(-(-len(raw) // 192) * 192)
+        got = list(tiff.pages(tiff.stored(raw)))
+        assert b"".join(p["pixels"] for p in got) == raw and len(got) == -(-len(raw) // (192 * tiff.PAGE_ROWS))
+        seen |= {(p["compression"], p["page"]) for p in got}
+    assert {c for c, _ in seen} == {tiff.DEFLATE, tiff.PACKBITS, tiff.LZW} and max(p for _, p in seen) > 0
+
+
 def test_tiff_texts(docs, rows):
     got = tiff.text_round_trip(docs).collect()
     expected = Counter()
@@ -717,6 +838,40 @@ def test_vptree_exact(spark):
     assert same == len(expected)
 
 
+def test_vptree_scores_of_any_size(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 8))
+    scale = 10.0 ** rng.choice([-300, -150, 0, 5, 150, 300], 60)
+    rows = [(i, (v * f).tolist()) for i, (v, f) in enumerate(zip(x, scale, strict=True))]
+    got = vptree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), spark.createDataFrame(rows[::20], "vec_id long, embedding array<double>"), factor=1.0).collect()
+    u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    assert len(got) == 15
+    for q in (0, 20, 40):
+        best = sorted(((-float(u[q] @ u[j]), j) for j in range(60) if j != q))[:5]
+        assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [j for _, j in best]
+    assert all(-1 - 1e-9 <= r.score <= 1 + 1e-9 for r in got)
+
+
+def test_vptree_recall_over_shards(spark):
+    """Several shards at the query's own settings, in clusters and without."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(300, 32))
+    x = np.concatenate([centres[rng.integers(0, 300, 15_000)] + 0.5 * rng.normal(size=(15_000, 32)), rng.normal(size=(5000, 32))])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    got = vptree.nearest(rows, rows.where("vec_id % 50 = 0")).collect()
+    u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    found = defaultdict(set)
+    for r in got:
+        found[r.query_id].add(r.vec_id)
+    right = 0
+    for q in range(0, len(x), 50):
+        s = u @ u[q]
+        s[q] = -2
+        right += len(found[q] & set(np.argsort(-s)[:5].tolist()))
+    print("recall", right / (5 * len(range(0, len(x), 50))))
+    assert right >= 0.9 * 5 * len(range(0, len(x), 50))
+
+
 def test_vptree_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     points = [(r.vec_id, list(r.embedding)) for r in df.collect()]
@@ -728,6 +883,20 @@ def test_vptree_recall(spark):
 # all
 
 
+@pytest.mark.parametrize("name", ["pii_base", "tiff_bytes", "sharding_layout", "vptree_exact", "op4_mixing", "op5_minhash", "op7_warc"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = queries.queries()[name](spark, SF)
+    found = con.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in found.description]
+    assert sorted(names) == sorted(got.columns)
+    assert Counter(map(tuple, found.fetchall())) == Counter(tuple(r) for r in got.select(*names).collect())
+
+
 def test_empty_tables(spark, docs):
     none = docs.where("false")
     v = queries.vocabulary()
