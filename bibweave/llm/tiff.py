@@ -2,18 +2,23 @@
 
 The reader walks the chain of image directories, decodes uncompressed, PackBits,
 LZW and deflate data in strips or tiles, undoes the horizontal predictor and
-gives the samples row by row.  The writer stores bytes as 8-bit samples.
+gives the samples row by row.  The writer stores bytes as 8-bit samples, each
+page in a form of its own.
 
 Classic TIFF of either byte order, with 8- or 16-bit samples in one plane or in
-planes of their own. Defined cases: a null or empty image gives no rows; an image
-that is damaged or uses something else gives one row with ``error`` set and the
-fields after it null (pages before the damage are kept); a directory chain that
-loops ends there; other columns of the input are not read but the id.
+planes of their own. Defined cases: a null or empty image gives no rows; a page
+that is damaged, uses something else, or claims more samples than its bytes can
+stand for (or than ``MOST`` bytes) gives one row with ``error`` set and the fields
+after it null, and the pages after it are read as long as the chain of
+directories can be followed; a directory that can't be read gives such a row and
+ends the image; a chain that loops ends there. Other columns of the input are not
+read but the id and those to be handed on.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 
@@ -25,8 +30,17 @@ from pyspark.sql import functions as F
 from bibweave.scratch import Scratch, small_batches
 
 NONE, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773
-#: Bytes to a row of the query's images, and rows to a strip.
-WIDTH, STRIP_ROWS = 192, 1024
+#: Bytes to a row of the query's images, rows to a strip, to a tile and to a page.
+WIDTH, STRIP_ROWS, TILE_ROWS, PAGE_ROWS = 192, 1024, 256, 512
+#: Bytes of samples that one page may have: what a column of binary values can hold.
+MOST = 1 << 30
+#: Bytes that one byte of compressed data can stand for, at most.
+RATIO = {NONE: 1, PACKBITS: 64, LZW: 4096, DEFLATE: 1040, 32946: 1040}
+#: How pages of texts are stored: compression, predictor, and whether in tiles.
+FORMS = ((DEFLATE, 2, False), (PACKBITS, 1, False), (LZW, 1, True))
+#: Bytes of samples handed on at a time.
+_BATCH = 8 << 20
+_RUN = re.compile(rb"(.)\1{2,127}", re.DOTALL)
 PAGE_SCHEMA = "page int, width int, height int, samples int, bits int, compression int, predictor int, pixels binary, error string"
 _SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 
@@ -54,8 +68,8 @@ def packbits_decode(data: bytes, expected: int) -> bytes:
 
 
 def packbits_encode(data: bytes) -> bytes:
-    out, at, lit = bytearray(), 0, 0
-    n = len(data)
+    """Runs of three and more as such, what is between them as it is."""
+    out, lit = bytearray(), 0
 
     def flush(a: int, b: int) -> None:
         for i in range(a, b, 128):
@@ -63,18 +77,11 @@ def packbits_encode(data: bytes) -> bytes:
             out.append(len(part) - 1)
             out.extend(part)
 
-    while at < n:
-        run = 1
-        while run < 128 and at + run < n and data[at + run] == data[at]:
-            run += 1
-        if run >= 3:
-            flush(lit, at)
-            out += bytes((257 - run, data[at]))
-            at += run
-            lit = at
-        else:
-            at += run
-    flush(lit, n)
+    for run in _RUN.finditer(data):
+        flush(lit, run.start())
+        lit = run.end()
+        out.extend((257 - (lit - run.start()), data[run.start()]))
+    flush(lit, len(data))
     return bytes(out)
 
 
@@ -181,8 +188,10 @@ def _unpack(data: bytes, compression: int, expected: int) -> bytes:
     return got
 
 
-def _pack(data: bytes, compression: int, level: int) -> bytes:
-    return {NONE: bytes, PACKBITS: packbits_encode, LZW: lzw_encode}.get(compression, lambda d: zlib.compress(d, level))(data)
+def _pack(data: bytes, row: int, compression: int, level: int) -> bytes:
+    if compression == PACKBITS:  # each row on its own
+        return b"".join(packbits_encode(data[i : i + row]) for i in range(0, len(data), row))
+    return {NONE: bytes, LZW: lzw_encode}.get(compression, lambda d: zlib.compress(d, level))(data)
 
 
 def _directory(data: bytes, at: int, order: str) -> tuple[dict[int, list[int]], int]:
@@ -208,34 +217,40 @@ def _directory(data: bytes, at: int, order: str) -> tuple[dict[int, list[int]],
 
 
 def _page(data: bytes, tags: dict[int, list[int]], order: str) -> dict:
-    one = lambda tag, default=None: tags[tag][0] if tags.get(tag) else default
-    width, height, samples, compression = one(256), one(257), one(277, 1), one(259, 1)
-    bits, planar, predictor = one(258, 1), one(284, 1), one(317, 1)
-    if not width or not height:
-        raise TiffError("no width or height")
-    if bits not in (8, 16) or len(set(tags.get(258, [bits]))) > 1:
-        raise TiffError(f"{tags.get(258, [bits])} bits to a sample are not supported")
-    if predictor not in (1, 2):
-        raise TiffError(f"predictor {predictor} is not supported")
+    def one(tag: int, what: str, default: int | None = None, allowed: tuple[int, ...] | None = None) -> int:
+        value = tags[tag][0] if tags.get(tag) else default
+        if not value or (allowed and value not in allowed):
+            raise TiffError(f"{what} is {value}")
+        return value
+
+    width, height, samples = one(256, "width"), one(257, "height"), one(277, "number of samples", 1)
+    compression, planar, predictor = one(259, "compression", 1, tuple(RATIO)), one(284, "planar configuration", 1, (1, 2)), one(317, "predictor", 1, (1, 2))
+    bits = one(258, "bits to a sample", 1, (8, 16))
+    if len(set(tags.get(258, [bits]))) > 1:
+        raise TiffError(f"{tags[258]} bits to a sample are not supported")
     size, planes = bits // 8, samples if planar == 2 else 1
     deep = 1 if planar == 2 else samples
     tiled = 322 in tags
-    across, down = (one(322), one(323)) if tiled else (width, min(one(278, height), height))
+    across, down = (one(322, "tile width"), one(323, "tile height")) if tiled else (width, min(one(278, "rows to a strip", height), height))
     starts, counts = tags.get(324 if tiled else 273, []), tags.get(325 if tiled else 279, [])
     columns, rows = -(-width // across), -(-height // down)
-    if len(starts) < columns * rows * planes or len(counts) < len(starts):
+    if len(starts) < columns * rows * planes or len(counts) < columns * rows * planes:
         raise TiffError("strips or tiles are missing")
+    blocks = list(zip(starts[: columns * rows * planes], counts[: columns * rows * planes], strict=True))
+    if any(a + n > len(data) for a, n in blocks):
+        raise TiffError("a strip or tile ends past the end")
+    # nothing is allocated that the bytes at hand can't fill
+    due, most = width * height * samples * size, max(n for _, n in blocks) * RATIO[compression]
+    if due > sum(n for _, n in blocks) * RATIO[compression] or across * min(down, height if not tiled else down) * deep * size > most or due > MOST:
+        raise TiffError(f"{due} bytes of samples from {sum(n for _, n in blocks)}")
     kind = np.dtype(("<" if order == "<" else ">") + f"u{size}")
     out = np.zeros((planes, height, width, deep), kind)
     for p in range(planes):
         for r in range(rows):
             tall = down if tiled else min(down, height - r * down)
             for c in range(columns):
-                i = (p * rows + r) * columns + c
-                if starts[i] + counts[i] > len(data):
-                    raise TiffError("a strip or tile ends past the end")
-                raw = _unpack(data[starts[i] : starts[i] + counts[i]], compression, across * tall * deep * size)
-                block = np.frombuffer(raw, kind).reshape(tall, across, deep)
+                at, n = blocks[(p * rows + r) * columns + c]
+                block = np.frombuffer(_unpack(data[at : at + n], compression, across * tall * deep * size), kind).reshape(tall, across, deep)
                 if predictor == 2:
                     block = np.cumsum(block, axis=1, dtype=kind.newbyteorder("=")).astype(kind)
                 h, w = min(tall, height - r * down), min(across, width - c * across)
@@ -244,6 +259,10 @@ def _page(data: bytes, tags: dict[int, list[int]], order: str) -> dict:
     return {"width": width, "height": height, "samples": samples, "bits": bits, "compression": compression, "predictor": predictor, "pixels": pixels.astype(kind.newbyteorder("<")).tobytes(), "error": None}
 
 
+def _failed(n: int, why: str) -> dict:
+    return {"page": n, "width": None, "height": None, "samples": None, "bits": None, "compression": None, "predictor": None, "pixels": None, "error": why}
+
+
 def pages(data: bytes | None):
     """Rows of PAGE_SCHEMA, as dicts."""
     if not data:
@@ -258,17 +277,20 @@ def pages(data: bytes | None):
         while at and at not in seen:
             seen.add(at)
             tags, at = _directory(data, at, order)
-            yield {"page": n, **_page(data, tags, order)}
+            try:
+                yield {"page": n, **_page(data, tags, order)}
+            except (ValueError, ArithmeticError, LookupError, MemoryError) as e:  # whatever its tags say, one page can't end the task
+                yield _failed(n, str(e) or type(e).__name__)
             n += 1
     except TiffError as e:
-        yield {"page": n, "width": None, "height": None, "samples": None, "bits": None, "compression": None, "predictor": None, "pixels": None, "error": str(e)}
+        yield _failed(n, str(e))
 
 
-def encode(images: list[bytes], width: int = WIDTH, samples: int = 1, compression: int = DEFLATE, predictor: int = 1, strip_rows: int = STRIP_ROWS, tile: tuple[int, int] | None = None, level: int = 1, order: str = "<") -> bytes:
-    """A TIFF with one page per item; an item's length is a multiple of width * samples."""
+def encode(images: list[bytes], width: int = WIDTH, samples: int = 1, compression: int = DEFLATE, predictor: int = 1, strip_rows: int = STRIP_ROWS, tile: tuple[int, int] | None = None, level: int = 1, order: str = "<", forms: list[tuple[int, int, tuple[int, int] | None]] | None = None) -> bytes:
+    """A TIFF with one page per item; an item's length is a multiple of width * samples. ``forms`` gives compression, predictor and tile page by page."""
     out = bytearray((b"II" if order == "<" else b"MM") + struct.pack(order + "HI", 42, 0))
     link = 4
-    for image in images:
+    for image, (compression, predictor, tile) in zip(images, forms or [(compression, predictor, tile)] * len(images), strict=True):
         height = len(image) // (width * samples)
         x = np.frombuffer(image, np.uint8).reshape(height, width, samples)
         across, down = tile or (width, min(strip_rows, height))
@@ -280,7 +302,7 @@ def encode(images: list[bytes], width: int = WIDTH, samples: int = 1, compressio
                     block = np.pad(block, ((0, down - block.shape[0]), (0, across - block.shape[1]), (0, 0)))
                 if predictor == 2:
                     block = np.diff(block, axis=1, prepend=np.zeros((block.shape[0], 1, samples), np.uint8))
-                packed = _pack(block.tobytes(), compression, level)
+                packed = _pack(block.tobytes(), block.shape[1] * samples, compression, level)
                 starts.append(len(out))
                 counts.append(len(packed))
                 out += packed
@@ -304,21 +326,40 @@ def encode(images: list[bytes], width: int = WIDTH, samples: int = 1, compressio
     return bytes(out)
 
 
-def read_pages(images: DataFrame, image: str, id_col: str) -> DataFrame:
-    """One row per page: the id and the columns of PAGE_SCHEMA."""
+def read_pages(images: DataFrame, image: str, id_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per page: the id, the columns of PAGE_SCHEMA, and those to be carried.
+
+    Rows of one image follow each other, page by page; a page is handed on before the next one is decoded.
+    """
     small_batches(images.sparkSession)
-    kind = images.schema[id_col].dataType.simpleString()
-    names = [id_col, *(x.strip().split(" ")[0] for x in PAGE_SCHEMA.split(","))]
+    kind = lambda c: images.schema[c].dataType.simpleString()
+    own = [x.strip().split(" ")[0] for x in PAGE_SCHEMA.split(",")]
     types = [pa.int32()] * 7 + [pa.binary(), pa.string()]
+    names = [id_col, *own, *carry]
 
     def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                rows = list(pages(batch.column(1)[i].as_py()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(rows))), *(pa.array([r[n] for r in rows], t) for n, t in zip(names[1:], types, strict=True))], names)
+            at, rows, size = [], [], 0
+
+            def ready(at=at, rows=rows, batch=batch):
+                take = pa.array(at, pa.int64())
+                return pa.RecordBatch.from_arrays([batch.column(0).take(take), *(pa.array([r[n] for r in rows], t) for n, t in zip(own, types, strict=True)), *(batch.column(i).take(take) for i in range(2, batch.num_columns))], names)
 
-    return images.select(id_col, image).mapInArrow(run, f"`{id_col}` {kind}, {PAGE_SCHEMA}")
+            for i in range(batch.num_rows):
+                for row in pages(batch.column(1)[i].as_py()):
+                    at.append(i)
+                    rows.append(row)
+                    size += len(row["pixels"] or b"")
+                    if size > _BATCH:
+                        yield ready()
+                        at.clear()
+                        rows.clear()
+                        size = 0
+            if rows:
+                yield ready()
+
+    more = "".join(f", `{c}` {kind(c)}" for c in carry)
+    return images.select(*(F.col(f"`{c}`") for c in (id_col, image, *carry))).mapInArrow(run, f"`{id_col}` {kind(id_col)}, {PAGE_SCHEMA}{more}")
 
 
 def payload(text: str | None) -> tuple[int, bytes]:
@@ -336,7 +377,18 @@ def feature(page: dict) -> str:
     return f"{page['width']}x{page['height']}:mean={100 * s // n}:var={100 * (n * q - s * s) // (n * n)}:blank={int(count[32])}:nl={int(count[10])}"
 
 
-def store_texts(docs: DataFrame, compression: int = DEFLATE, predictor: int = 2, level: int = 1) -> DataFrame:
+def stored(raw: bytes) -> bytes:
+    """Pages of PAGE_ROWS rows at most; the form of a page follows from what is in it, so equal texts are stored alike."""
+    parts = [raw[i : i + WIDTH * PAGE_ROWS] for i in range(0, len(raw), WIDTH * PAGE_ROWS)]
+    forms = []
+    for part in parts:
+        compression, predictor, tiled = FORMS[zlib.crc32(part) % len(FORMS)]
+        rows = -(-len(part) // WIDTH)
+        forms.append((compression, predictor, (WIDTH // 3, min(TILE_ROWS, -(-rows // 16) * 16)) if tiled else None))
+    return encode(parts, forms=forms)
+
+
+def store_texts(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media: each whole text as a TIFF of 192 samples a row."""
     small_batches(docs.sparkSession)
 
@@ -346,29 +398,51 @@ def store_texts(docs: DataFrame, compression: int = DEFLATE, predictor: int = 2,
             for t in batch.column(1):
                 size, raw = payload(t.as_py())
                 n.append(size)
-                media.append(encode([raw], compression=compression, predictor=predictor, level=level))
+                media.append(stored(raw))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def text_round_trip(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """Stores all texts as images in a table, reads the stored bytes back and describes them."""
-    stored = (scratch or Scratch(docs.sparkSession)).save(store_texts(docs))
+def _folded(batches):
+    """Pages, those of an image in a row -> one row for each image."""
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    now, done = None, []
+
+    def close():
+        head, size, sha, tail, media, features = now
+        done.append((*head, size, sha.hexdigest(), zlib.crc32(tail), *media, ";".join(features)))
+
+    def ready():
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names)
+        done.clear()
+        return out
+
+    for batch in batches:
+        c = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        for i in range(batch.num_rows):
+            row = {n: c[n][i].as_py() for n in ("doc_id", "page", "width", "height", "pixels", "error", "n_bytes", "media_bytes", "media_sha256")}
+            if row["error"]:
+                raise TiffError(row["error"])
+            if row["page"] == 0:
+                if now:
+                    close()
+                now = [(row["doc_id"], row["n_bytes"]), 0, hashlib.sha256(), b"", (row["media_bytes"], row["media_sha256"]), []]
+            now[1] += len(row["pixels"])
+            now[2].update(row["pixels"])
+            now[3] = (now[3] + row["pixels"])[-16:]
+            now[5].append(feature(row))
+        if done:
+            yield ready()
+    if now:
+        close()
+        yield ready()
 
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for m in batch.column(2):
-                media = m.as_py()
-                got = list(pages(media))
-                if any(p["error"] for p in got):
-                    raise TiffError(got[-1]["error"])
-                raw = b"".join(p["pixels"] for p in got)
-                rows.append((len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-16:]), len(media), hashlib.sha256(media).hexdigest(), ";".join(map(feature, got))))
-            columns = list(zip(*rows, strict=True)) or [[]] * 6
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
-
-    return stored.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+def text_round_trip(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """Stores all texts as images in a table, reads the stored bytes back page by page and describes them."""
+    media = (scratch or Scratch(docs.sparkSession)).save(store_texts(docs))
+    media = media.select("doc_id", "media", "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"))
+    read = read_pages(media, "media", "doc_id", carry=("n_bytes", "media_bytes", "media_sha256"))
+    return read.mapInArrow(_folded, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
