@@ -17,6 +17,10 @@
    exact, and a bucket of thousands of classes that are alike, but not alike
    enough, never makes all its pairs.
 
+A band or a prefix that very many classes share is dealt to several tasks: what
+is known of a key is a table of its own, so that a join with it can be split
+where a key is hot, and prefixes of more than ``CROWD`` sets are cut into parts.
+
 Defined cases: a null, empty or blank text has no shingles and is a group of its
 own; repeated rows of a doc_id are the same document; rows with a null doc_id get
 the group of their text but never name one; an empty table gives an empty table.
@@ -26,6 +30,7 @@ Texts are read whole. Only doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +51,8 @@ LEAST_ESTIMATE = 0.15
 ORDER_BITS = 18
 #: Sets meet only if their sizes allow it: they are dealt by steps of this ratio.
 SIZE_STEP = 1.12
+#: Sets that share a prefix and meet in one task.
+CROWD = 1024
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
@@ -227,15 +234,18 @@ def _prefix_pairs(opened: DataFrame, percent: int, scratch: Scratch) -> DataFram
     shared = opened.sparkSession.sparkContext.broadcast(order)
     keyed = scratch.save(opened.select("id", "c", "shingles").mapInArrow(_keyed(shared, percent), "key long, larger boolean, id long, c long, n int, place int"))
     # keys of one component only say nothing; elsewhere the largest component's members need not meet each other
-    top = keyed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", F.col("top.c").alias("most"))
+    top = keyed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("m"), F.sum("k").alias("all")).where("m > 1")
+    top = scratch.save(top.select("key", F.col("top.c").alias("most"), F.ceil(F.col("all") / F.lit(CROWD)).cast("int").alias("parts")))
     mixed = scratch.save(keyed.join(top, "key").withColumn("minor", F.expr("c != most")).drop("most"))
-    small = mixed.where("not larger").select("key", *(F.col(x).alias(f"{x}_s") for x in ("id", "c", "n", "place", "minor")))
-    large = mixed.where("larger").select("key", *(F.col(x).alias(f"{x}_l") for x in ("id", "c", "n", "place", "minor")))
+    # of a crowded key the larger sets are dealt to so many parts, and the smaller ones go to each
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    small = mixed.where("not larger").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *(F.col(x).alias(f"{x}_s") for x in ("id", "c", "n", "place", "minor")))
+    large = mixed.where("larger").select("key", part.alias("part"), *(F.col(x).alias(f"{x}_l") for x in ("id", "c", "n", "place", "minor")))
     fits = f"""c_s != c_l AND n_s <= n_l AND 100L * n_s >= {percent}L * n_l
         AND {100 + percent}L * least(n_s - place_s, n_l - place_l) >= {percent}L * (n_s + n_l)"""
-    met = small.where("minor_s").join(large, "key").where(fits).unionByName(small.where("not minor_s").join(large.where("minor_l"), "key").where(fits))
+    met = small.where("minor_s").join(large, ["key", "part"]).where(fits).unionByName(small.where("not minor_s").join(large.where("minor_l"), ["key", "part"]).where(fits))
     pairs = scratch.save(met.select(F.least("id_s", "id_l").alias("a"), F.greatest("id_s", "id_l").alias("b")).distinct())
-    scratch.drop(keyed, mixed)
+    scratch.drop(keyed, mixed, top)
     return pairs
 
 
@@ -255,7 +265,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).where("id is not null")
     classes = scratch.save(classes)
     banded = classes.select(F.explode("bands").alias("key"), "id", "n")
+    # written: a table of its own, so that the join can be split where a key is hot
     hubs = banded.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1").select("key", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
+    hubs = scratch.save(hubs)
     member = scratch.save(banded.join(hubs, "key").select("key", "id", "n", "hub", "hub_n"))
     fits = lambda x, y: F.expr(f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})")
 
@@ -289,12 +301,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             now = member.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
             # buckets that still hold more than one component
             open_ = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
+            open_ = scratch.save(open_)
             now = scratch.save(now.join(open_, "key"))
             if round_ == STAR_ROUNDS or found <= YIELD * compared:
                 break
             # the next hub: a class of the bucket's largest component, another one each round
             per = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min_by(F.struct("id", "n"), F.xxhash64("id", F.lit(round_))).alias("pick"))
             hub = per.groupBy("key").agg(F.max(F.struct("k", F.xxhash64("key", "c"), "c", "pick")).alias("top")).select("key", F.col("top.pick.id").alias("hub"), F.col("top.pick.n").alias("hub_n"), F.col("top.c").alias("hub_c"))
+            hub = scratch.save(hub)
             more = now.join(hub, "key").where("c != hub_c").where(fits("n", "hub_n")).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
             more = scratch.save(more.join(done, ["a", "b"], "left_anti"))
             compared = more.count()
@@ -328,6 +342,7 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
 
     Rows without a doc_id cannot be named and stay as they are.
     """
-    found = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    one = docs.join(found, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    own = f"k{uuid.uuid4().hex}"  # a name that no input column has
+    found = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias(own)).distinct()
+    one = docs.join(found, F.col("doc_id") == F.col(own), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))
