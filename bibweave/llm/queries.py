@@ -75,6 +75,22 @@ def sharding_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_read(spark, sf_dir, "documents")).drop("text_crc32", "grown_shard")
 
 
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the base rules of op1 find."""
+    return pii.report(_read(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def tiff_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes that op8 reads back, without the checksum, which plain SQL lacks."""
+    return tiff.text_round_trip(_read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+def vptree_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search of op10 with a factor of one, which leaves no neighbour out."""
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.nearest(vectors, vectors.where("vec_id % 50 = 0"), factor=1.0).withColumn("score", F.round("score", 6))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_pii, op2_bpe, op3_quality, op4_mixing, op5_minhash, op6_langid, op7_warc, op8_tiff, op9_sharding, op10_vptree)
-    parts = (sharding_layout,)
+    parts = (pii_base, tiff_bytes, sharding_layout, vptree_exact)
     return {f.__name__: f for f in (*own, *parts)} | {"pipeline": pipeline}
 
 
@@ -140,12 +156,40 @@ _SHARD_SQL = """
 WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS sk, strlen(coalesce(text, '')) + 1 AS size,
                   md5('17:' || coalesce(doc_id::VARCHAR, 'null:' || coalesce(text, ''))) AS h, md5(coalesce(text, '')) AS tie FROM documents),
 i AS (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY h, tie) - 1 AS i, count(*) OVER (PARTITION BY sk) AS n FROM d),
-a AS (SELECT *, least((i::HUGEINT * 281474976710656 + ('0x' || substr(md5('17/' || sk), 1, 12))::BIGINT) // n, 281474976710655) AS at FROM i),
-r AS (SELECT *, row_number() OVER (ORDER BY at, sk, h, tie) - 1 AS rank, count(*) OVER () AS whole FROM a),
+a AS (SELECT *, least((i::HUGEINT * 281474976710656 + ('0x' || substr(md5('17/' || sk), 1, 12))::BIGINT) // n, 281474976710655) AS place FROM i),
+r AS (SELECT *, row_number() OVER (ORDER BY place, sk, h, tie) - 1 AS rank, count(*) OVER () AS whole FROM a),
 s AS (SELECT *, rank * 8 // whole AS shard FROM r)
 SELECT doc_id, size::BIGINT AS size, 'rows' AS law, shard::INT AS shard, (rank - (shard * whole + 7) // 8)::BIGINT AS slot FROM s
 """
 
+_DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse({_DIGITS}), i, 1)::INT WHEN substr(reverse({_DIGITS}), i, 1)::INT > 4 THEN substr(reverse({_DIGITS}), i, 1)::INT * 2 - 9 ELSE substr(reverse({_DIGITS}), i, 1)::INT * 2 END)) % 10 = 0"
+_PII_PATTERNS = {"email": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "ip": "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", "card": "[0-9]([\\x20-]?[0-9])+", "phone": "\\+[0-9][\\x20().0-9-]+[0-9]"}
+#: A match begins after all that splitting leaves before it, and after the matches before it.
+_PII_SQL = f"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS x FROM documents),
+m AS ({" UNION ALL ".join(f"SELECT r, '{k}' AS kind, {i} AS nth, regexp_extract_all(x, '{p}') AS m, regexp_split_to_array(x, '{p}') AS p FROM t WHERE regexp_matches(x, '{p}')" for i, (k, p) in enumerate(_PII_PATTERNS.items()))}),
+e AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM m),
+s AS (SELECT r, kind, nth, m[i] AS v, list_sum(list_transform(p[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) AS a FROM e),
+g AS (SELECT * FROM s WHERE CASE kind WHEN 'email' THEN true WHEN 'ip' THEN list_max(list_transform(string_split(v, '.'), lambda y: CASE WHEN length(ltrim(y, '0')) > 3 THEN 999 ELSE y::BIGINT END)) <= 255
+  WHEN 'card' THEN length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN} ELSE length({_DIGITS}) BETWEEN 9 AND 15 END),
+n AS (SELECT r, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in _PII_PATTERNS)}, string_agg(kind || ':' || a::BIGINT || ':' || (a + length(v))::BIGINT, ',' ORDER BY nth, a) AS found FROM g GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in _PII_PATTERNS)}, sha256(coalesce(found, '')) AS base_sha256 FROM t LEFT JOIN n USING (r)
+"""
+
+_TIFF_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, strlen(coalesce(text, '')) AS n FROM documents), p AS (SELECT *, greatest(192, (n + 191) // 192 * 192) AS whole FROM d)
+SELECT doc_id, n::BIGINT AS n_bytes, whole::BIGINT AS payload_bytes, sha256(x || repeat(' ', whole - n)) AS payload_sha256 FROM p
+"""
+
+_NEAREST_SQL = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS s FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS n FROM s)
+SELECT query_id, n::INT AS rank, vec_id, round(s, 6) AS score FROM r WHERE n <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"sharding_layout": _SHARD_SQL, "op4_mixing": _MIX_SQL, "op5_minhash": _NEAR_SQL, "op7_warc": _WARC_SQL}
+    return {"pii_base": _PII_SQL, "tiff_bytes": _TIFF_SQL, "vptree_exact": _NEAREST_SQL, "sharding_layout": _SHARD_SQL, "op4_mixing": _MIX_SQL, "op5_minhash": _NEAR_SQL, "op7_warc": _WARC_SQL}

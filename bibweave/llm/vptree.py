@@ -43,9 +43,13 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.empty((0, 0))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by powers of two, so that the largest component is near one: exact, and no product overflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    big = np.abs(x).max(axis=1, keepdims=True)
-    y = x / big
+    y = _scaled(x)
     return y / np.sqrt((y * y).sum(axis=1, keepdims=True))
 
 
@@ -53,7 +57,8 @@ class Tree:
     """A vantage-point tree over the rows of ``x``; ``rank`` breaks ties (smaller first)."""
 
     def __init__(self, x: np.ndarray, rank: np.ndarray, leaf: int = LEAF):
-        self.x, self.rank, self.leaf = x, rank, leaf
+        self.x, self.rank, self.leaf = _scaled(x), rank, leaf
+        x = self.x
         self.norm = np.sqrt(np.einsum("ij,ij->i", x, x))
         self.unit = _unit(x)
         self.root = self._build(np.arange(len(x)))
@@ -71,6 +76,7 @@ class Tree:
 
     def search(self, q: np.ndarray, k: int, factor: float, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Scores and rows (-1: none) of the k nearest. bound: scores known to be reached."""
+        q = _scaled(q)
         self.q, self.q_norm, self.q_unit, self.k, self.factor = q, np.sqrt(np.einsum("ij,ij->i", q, q)), _unit(q), k, factor
         self.best = np.full((len(q), k), -np.inf)
         self.row = np.full((len(q), k), -1, np.int64)
@@ -176,29 +182,29 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float =
     table: dict[int, list] = {}
     for s in sorted(shards, key=lambda s: (s["cell"], s["shard"])):
         table.setdefault(s["dim"], []).append((s["shard"], s["cell"], s["lo"], s["hi"]))
-    routes = spark.sparkContext.broadcast((pivots, table))  # at most SHARDS rows
+    columns = {dim: (np.array([x[0] for x in rows], object), *(np.array([x[i] for x in rows]) for i in (1, 2, 3))) for dim, rows in table.items()}
+    routes = spark.sparkContext.broadcast((pivots, columns))  # at most SHARDS rows
 
     def routed(batches):
         """(id, v, reach) -> (id, v, floor, shard); reach null: only the first shard of the nearest cell that has rows."""
         for b in batches:
-            where, names, _ = [], [], None
+            where, names = [], []
             cells, by_dim = routes.value
             ids, vs, floors, homes = (b.column(i).to_pylist() for i in range(4))
             for i, v in enumerate(vs):
-                own = by_dim.get(len(v))
-                if not own:
+                if len(v) not in by_dim:
                     continue
+                shard, cell, lo, hi = by_dim[len(v)]
                 p = cells.get(len(v))
                 d = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (_unit(np.array([v], np.float64)) @ p.T)))[0] if p is not None else np.zeros(1)
                 if homes[i] is None:
                     where.append(i)
-                    names.append(min(own, key=lambda s: (d[s[1]], s[0]))[0])
+                    names.append(shard[d[cell].argmin()])  # shards are in the order of cell and name
                     continue
                 reach = factor * np.sqrt(max(0.0, 2.0 - 2.0 * max(-1.0, floors[i]))) if floors[i] is not None else np.inf
-                for s, c, lo, hi in own:
-                    if s != homes[i] and max(d[c] - hi, lo - d[c]) <= reach + 1e-9:
-                        where.append(i)
-                        names.append(s)
+                near = np.nonzero((np.maximum(d[cell] - hi, lo - d[cell]) <= reach + 1e-9) & (shard != homes[i]))[0]
+                where += [i] * len(near)
+                names += shard[near].tolist()
             at = pa.array(where, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), b.column(2).take(at), pa.array(names, pa.string())], ["id", "v", "floor", "shard"])
 
