@@ -35,7 +35,7 @@ import regex
 import tiktoken
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -88,8 +88,11 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _blocks(pattern: str, buckets: int, block_chars: int):
-    """(id, text) -> rows of kind 0 (documents of a block) and kind 1 (its words in a bucket)."""
+def _blocks(pattern: str, buckets: int, block_chars: int, ordered: bool = False):
+    """(id, text, and what is carried) -> rows of kind 0 (documents of a block) and kind 1 (its words in a bucket).
+
+    ``ordered``: what is carried first is a position; a block is an unbroken run of these, and named by the first.
+    """
     names = ["kind", "block", "bucket", "ids", "lens", "data", "data2"]
 
     def run(batches):
@@ -103,7 +106,7 @@ def _blocks(pattern: str, buckets: int, block_chars: int):
         def rows(ids, codes, places):  # ids: of each document, followed by what is carried
             lens = np.array([len(c) for c in codes], np.int64)
             flat = np.concatenate(codes) if codes else np.empty(0, np.uint32)
-            block = stamp + n
+            block = ids[1] if ordered else stamp + n
             out = [(0, block, 0, ids, lens.tolist(), _pack(flat), None)]
             words = [w.encode("utf-8", "surrogatepass") for w in places]
             bucket = np.fromiter((xxhash.xxh32_intdigest(w) for w in words), np.uint32, len(words)) % np.uint32(buckets)
@@ -123,6 +126,9 @@ def _blocks(pattern: str, buckets: int, block_chars: int):
         for batch in batches:
             carried = [batch.column(i).to_pylist() for i in range(2, batch.num_columns)]
             for at, (i, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                if ordered and ids and carried[0][at] != ids[-len(carried)] + 1:
+                    yield from rows(ids, codes, places)
+                    ids, codes, places, chars = [], [], _Places(), 0
                 t = text.as_py() or ""
                 ids += [i, *(c[at] for c in carried)]
                 if len(t) < _LONG:
@@ -205,22 +211,32 @@ def _reassembled(left: pa.Table, right: pa.Table) -> tuple[list, pa.Array]:
     return ids, pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
 
 
-def _encoded_blocks(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None, block_chars: int, carry: tuple[str, ...] = ()):
-    """Blocks of documents, grouped with the ids of their words."""
+def _prepared(docs: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...]):
+    """Columns to be worked on, the vocabulary as a broadcast, and the numbers of buckets and partitions."""
     spark = docs.sparkSession
     small_batches(spark)
-    scratch = scratch or Scratch(spark)
-    shared = spark.sparkContext.broadcast(vocabulary)
     parts = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets = min(BUCKETS, parts)
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(f"`{c}`").cast("long").alias(f"_c_{i}") for i, c in enumerate(carry)))
-    schema = "kind int, block long, bucket int, ids array<bigint>, lens array<bigint>, data binary, data2 binary"
-    # dealt by block as it is written: what is large of it, the positions, is not shuffled after that
-    blocks = scratch.save_by(thin.mapInArrow(_blocks(vocabulary.pattern, buckets, block_chars), schema), "block", parts)
+    return thin, spark.sparkContext.broadcast(vocabulary), min(BUCKETS, parts), parts
+
+
+_SCHEMA = "kind int, block long, bucket int, ids array<bigint>, lens array<bigint>, data binary, data2 binary"
+
+
+def _coded(blocks: DataFrame, shared, buckets: int, parts: int) -> DataFrame:
+    """Word lists meet by bucket; each block gets the ids of its words: block, data, data2."""
     words = blocks.where("kind = 1").select("block", "bucket", "lens", "data", "data2").repartition(parts, "bucket", F.pmod("block", F.lit(-(-parts // buckets)))).sortWithinPartitions("bucket")
-    coded = words.mapInArrow(_encoded(shared), "block long, data binary, data2 binary")
+    return words.mapInArrow(_encoded(shared), "block long, data binary, data2 binary")
+
+
+def _encoded_blocks(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None, block_chars: int, carry: tuple[str, ...] = ()):
+    """Blocks of documents, grouped with the ids of their words."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    thin, shared, buckets, parts = _prepared(docs, vocabulary, carry)
+    # dealt by block as it is written: what is large of it, the positions, is not shuffled after that
+    blocks = scratch.save_by(thin.mapInArrow(_blocks(vocabulary.pattern, buckets, block_chars), _SCHEMA), "block", parts)
     texts = blocks.where("kind = 0").select("block", "ids", "lens", "data")
-    return texts.groupBy("block").cogroup(coded.groupBy("block")), shared
+    return texts.groupBy("block").cogroup(_coded(blocks, shared, buckets, parts).groupBy("block")), shared
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -252,6 +268,54 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = False,
     return grouped.applyInArrow(run, _DIGESTS + ", ids array<int>" * keep_ids + "".join(f", `{c}` long" for c in carry))
 
 
+def round_trip_in_order(docs: DataFrame, vocabulary: Vocabulary, position: str, take: str, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """As ``round_trip``, with ids, in the order of ``position`` (0, 1, ..., each once), which is handed on.
+
+    ``take`` says how often a doc_id came before; rows without one are each on
+    their own. A block is a run of positions, so blocks are put in order as they
+    are put together, and token ids are not shuffled at all.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    thin, shared, buckets, parts = _prepared(docs, vocabulary, (position,))
+    blocks = scratch.save(thin.mapInArrow(_blocks(vocabulary.pattern, buckets, block_chars, ordered=True), _SCHEMA))
+    texts = blocks.where("kind = 0").select("kind", "block", "ids", "lens", "data", "data2")
+    pairs = "explode(transform(sequence(0, size(lens) - 1), i -> struct(ids[2 * i] AS id, ids[2 * i + 1] AS at))) AS p"
+    again = Window.partitionBy("p.id", F.when(F.col("p.id").isNull(), F.col("p.at"))).orderBy("p.at")
+    takes = texts.select("block", F.expr(pairs)).select("block", F.struct(F.col("p.at"), (F.row_number().over(again) - 1).cast("long").alias("take")).alias("t"))
+    none = lambda *names: [F.lit(None).cast({"lens": "array<bigint>", "ids": "array<bigint>"}.get(n, "binary")).alias(n) for n in names]
+    takes = takes.groupBy("block").agg(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["take"]).alias("ids"))  # of one block
+    rows = texts.unionByName(_coded(blocks, shared, buckets, parts).select(F.lit(1).alias("kind"), "block", *none("ids", "lens"), "data", "data2"))
+    rows = rows.unionByName(takes.select(F.lit(2).alias("kind"), "block", "ids", *none("lens", "data", "data2")))
+    whole = max(1, texts.agg(F.sum(F.size("lens"))).first()[0] or 0)
+    # positions are gapless, so equal ranges of them need no sample
+    rows = rows.repartitionById(parts, F.expr(f"(block * {parts}) div {whole}").cast("int")).sortWithinPartitions("block", "kind")
+    names, tables = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", position, take], []
+
+    def put_together(block: list[tuple]) -> pa.RecordBatch:
+        if not tables:
+            tables.append(shared.value.token_bytes())
+            tables.append({i: str(i) for i in tables[0]})
+        left = pa.table({n: [r[i] for r in block if r[0] == 0] for i, n in ((2, "ids"), (3, "lens"), (4, "data"))})
+        right = pa.table({n: [r[i] for r in block if r[0] == 1] for i, n in ((4, "data"), (5, "data2"))})
+        ids, tokens = _reassembled(left, right)
+        came = next(r[2] for r in block if r[0] == 2)
+        return pa.RecordBatch.from_arrays([pa.array(ids[::2], pa.int64()), *_digests(tokens, *tables), tokens, pa.array(ids[1::2], pa.int64()), pa.array(came, pa.int64())], names)
+
+    def run(batches):
+        block: list[tuple] = []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = tuple(batch.column(c)[i].as_py() for c in (0, 1, 2, 3, 4, 5))
+                if block and row[1] != block[0][1]:
+                    yield put_together(block)
+                    block = []
+                block.append(row)
+        if block:
+            yield put_together(block)
+
+    return rows.mapInArrow(run, f"{_DIGESTS}, ids array<int>, `{position}` long, `{take}` long")
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "bytes") -> DataFrame:
     """Adds the decoded bytes; ids that are null or not in the vocabulary give none. An input column of that name is replaced."""
     small_batches(encoded.sparkSession)
