@@ -102,7 +102,7 @@ def in_order(plan: DataFrame, position: str, *ties: str) -> DataFrame:
     parts = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.least(F.floor(F.col(position) * parts), F.lit(parts - 1))
     rest = F.pmod(F.xxhash64(*ties), F.lit(parts))
-    return plan.repartitionById(parts, F.coalesce(own, rest).cast("int")).sortWithinPartitions(position, *ties)
+    return plan.repartitionById(parts, F.when(F.col(position).isNull(), rest).otherwise(own).cast("int")).sortWithinPartitions(position, *ties)
 
 
 def mix(docs: DataFrame, position: str | None = None, take: str | None = None, scratch: Scratch | None = None, **options) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that one cell holds on average, at most.
-CELL_ROWS = 4096
+CELL_ROWS = 1024
 
 
 def digits_for(rows: int, cell_rows: int = CELL_ROWS) -> int:
