@@ -6,7 +6,7 @@ returns a DataFrame, which is written as Parquet and read as the next one's docs
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibweave.llm import bpe, langid, minhash, mixing, pii
@@ -57,14 +57,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no ids.
     """
     scratch = Scratch(spark)
-    rows = numbered_rows(docs, "position", scratch)
-    coded = scratch.save(bpe.round_trip(rows, vocabulary(), keep_ids=True, carry=("position",), scratch=scratch))
-    again = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("position"))).orderBy("position")
-    takes = coded.select("position", (F.row_number().over(again) - 1).alias("take"))
-    parts, whole = int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, coded.count())
-    # positions are gapless, so equal ranges of them need no sample
-    part = F.expr(f"(position * {parts}) div {whole}").cast("int")
-    return coded.join(takes, "position").repartitionById(parts, part).sortWithinPartitions("position")
+    return bpe.round_trip_in_order(numbered_rows(docs, "position", scratch), vocabulary(), "position", "take", scratch)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("redact_pii", redact_pii), ("mix_sources", mix_sources), ("encode", encode)]
