@@ -17,18 +17,20 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_DEFAULT = "file:///tmp/bibweave-checkpoints"
 
 #: Rows that Python functions get at a time where rows hold whole texts.
-BATCH_ROWS = 500
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
+_BATCH, _BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to BATCH_ROWS rows, unless they are smaller.
+    """Lowers the session's Arrow batches to BATCH_ROWS rows and BATCH_BYTES bytes, unless they are smaller.
 
     A batch is held by the executor and by its Python worker at once; with the
     default of 10,000 rows, long texts would take up hundreds of MB in both.
     """
     if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
+    if not spark.conf.get(_BYTES).rstrip("b").isdigit() or int(spark.conf.get(_BYTES).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BYTES, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
