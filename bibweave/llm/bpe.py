@@ -268,7 +268,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = False,
     return grouped.applyInArrow(run, _DIGESTS + ", ids array<int>" * keep_ids + "".join(f", `{c}` long" for c in carry))
 
 
-def round_trip_in_order(docs: DataFrame, vocabulary: Vocabulary, position: str, take: str, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def round_trip_in_order(docs: DataFrame, vocabulary: Vocabulary, position: str, take: str, scratch: Scratch | None = None, block_chars: int = BLOCK_CHARS // 3) -> DataFrame:
     """As ``round_trip``, with ids, in the order of ``position`` (0, 1, ..., each once), which is handed on.
 
     ``take`` says how often a doc_id came before; rows without one are each on
@@ -291,25 +291,30 @@ def round_trip_in_order(docs: DataFrame, vocabulary: Vocabulary, position: str,
     rows = rows.repartitionById(parts, F.expr(f"(block * {parts}) div {whole}").cast("int")).sortWithinPartitions("block", "kind")
     names, tables = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", position, take], []
 
-    def put_together(block: list[tuple]) -> pa.RecordBatch:
+    def put_together(block: list[pa.RecordBatch]) -> pa.RecordBatch:
         if not tables:
             tables.append(shared.value.token_bytes())
             tables.append({i: str(i) for i in tables[0]})
-        left = pa.table({n: [r[i] for r in block if r[0] == 0] for i, n in ((2, "ids"), (3, "lens"), (4, "data"))})
-        right = pa.table({n: [r[i] for r in block if r[0] == 1] for i, n in ((4, "data"), (5, "data2"))})
-        ids, tokens = _reassembled(left, right)
-        came = next(r[2] for r in block if r[0] == 2)
+        table = pa.Table.from_batches(block)
+        kind = table.column(0).to_numpy()
+        ids, tokens = _reassembled(table.filter(pa.array(kind == 0)), table.filter(pa.array(kind == 1)))
+        came = table.filter(pa.array(kind == 2)).column("ids")[0].as_py()
         return pa.RecordBatch.from_arrays([pa.array(ids[::2], pa.int64()), *_digests(tokens, *tables), tokens, pa.array(ids[1::2], pa.int64()), pa.array(came, pa.int64())], names)
 
     def run(batches):
-        block: list[tuple] = []
+        block: list[pa.RecordBatch] = []
+        now = None
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = tuple(batch.column(c)[i].as_py() for c in (0, 1, 2, 3, 4, 5))
-                if block and row[1] != block[0][1]:
+            numbers = batch.column(1).to_numpy()
+            edges = [0, *(np.nonzero(np.diff(numbers))[0] + 1).tolist(), len(numbers)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if block and numbers[a] != now:
                     yield put_together(block)
                     block = []
-                block.append(row)
+                now = numbers[a]
+                block.append(batch.slice(a, b - a))
         if block:
             yield put_together(block)
 
