@@ -1,14 +1,16 @@
 """Quality grades by ordinal regression: P(grade > j) = sigmoid(w . x - theta_j).
 
 One weight vector is shared by all thresholds, which are kept in order. x are
-hashed words and beginnings of words (lower-cased, 2**17 buckets, damped counts up
-to 1) and a few shares of letters, marks and capitals.  The model is fitted on the
+hashed words and beginnings of words (lower-cased, 2**17 buckets: one feature for
+each that occurs, another for each that occurs twice) and a few shares of letters, marks and capitals.  The model is fitted on the
 driver on a bounded sample of rated rows (``SAMPLE_ROWS`` for each grade), less
 a quarter on which the threshold for keeping is set; scoring gives each document
 its expected grade and the probability of the upper grades.
 
-The ratings here are graded from the table ``labels``: 0 for low quality, 1 for
-sound but toxic text, 2 for sound and not toxic.
+The ratings here are graded from the table ``labels``: 0 for toxic text, 1 for text
+that is not toxic but of low quality, 2 for the rest. Toxic words add up without
+bound, so they belong to the end of the scale; in the middle of it a text with
+many of them would be pushed past its grade, and one with few would stay above it.
 
 Defined cases: a null, empty or blank text has no features but its bias and gets
 grade 0, tail 0 and is not kept; documents rated twice count once for each grade;
@@ -41,7 +43,7 @@ SAMPLE_ROWS = 2500
 #: it is KEEP at most, and just that with fewer than LEAST_HELD such rows.
 LOSS, KEEP, LEAST_HELD = 0.01, 0.5, 30
 #: Weight of the L1 term. A word counts if it occurs in LEAST rows of any one grade, or in this share of the sample.
-SPARSE, LEAST, SEEN = 0.006, 3, 0.01
+SPARSE, LEAST, SEEN = 0.01, 3, 0.01
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -68,9 +70,10 @@ def features(text: str | None, buckets: _Buckets) -> tuple[np.ndarray, np.ndarra
     for word, n in Counter(bare).items():
         for b in buckets[word]:
             counted[b] += n
-    at = np.fromiter(counted.keys(), np.int64, len(counted))
-    val = np.log1p(np.fromiter(counted.values(), np.float64, len(counted)))
-    val = np.minimum(val, 1.0)
+    twice = ((b * 40503 + 0x5BD1) & ((1 << BITS) - 1) for b, n in counted.items() if n > 1)
+    own = {*counted, *twice}
+    at = np.fromiter(own, np.int64, len(own))
+    val = np.ones(len(own))
     n = len(text)
     letters = sum(map(len, bare))
     distinct = len(set(bare)) / max(1, len(bare))

@@ -32,7 +32,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    rated = _read(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2).alias("grade"))
+    rated = _read(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2).alias("grade"))
     return ordinal.grade(docs, ordinal.fit(docs.join(F.broadcast(ordinal.sampled(rated)), "doc_id")))
 
 
