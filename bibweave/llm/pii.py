@@ -72,6 +72,8 @@ GUARD = {
     "card": r"[0-9](?:[ -]?[0-9]){12}",
     "phone": r"\+[0-9]",
 }
+#: Tests that are plain substrings.
+PLAIN = ("@", "::")
 _AT, _DOT = r"\s?(?:\(at\)|\[at\]|\{at\}|<at>)\s?", r"\s?(?:\(dot\)|\[dot\]|\{dot\}|<dot>)\s?"
 #: Generators besides the base patterns, several a kind: pattern, and a cheap test that each of its matches passes.
 MORE = {
@@ -95,7 +97,7 @@ MORE = {
     ],
     "secret": [
         # letters and digits in one run
-        (r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z_+/-]{0,64}[0-9])(?=[0-9_+/-]{0,64}[A-Za-z])[A-Za-z0-9_+/-]{16,256}+={0,2}(?![A-Za-z0-9+/_@=])", "[A-Za-z0-9_+/-]{16}"),
+        (r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z_+/-]{0,64}[0-9])(?=[0-9_+/-]{0,64}[A-Za-z])[A-Za-z0-9_+/-]{16,256}+={0,2}(?![A-Za-z0-9+/_@=])", "[0-9][A-Za-z_+/-]|[A-Za-z_+/-][0-9]"),
     ],
 }
 #: Words that tell, by kind, and words that tell against.
@@ -123,8 +125,8 @@ def _chunked(array: Column, use) -> Column:
     return F.element_at(F.transform(F.array(array), parts), 1)
 
 
-def found(text: Column, pattern: str, guard: str, keep) -> Column:
-    """Array of (start, end, value) of all matches for which ``keep(value)`` holds."""
+def found(text: Column, pattern: str, guard: str, keep, need: Column | None = None) -> Column:
+    """Array of (start, end, value) of all matches for which ``keep(value)`` holds; none where ``need``, if given, is false."""
     parts, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     steps = F.zip_with(parts, values, lambda p, v: F.struct(F.char_length(p).alias("skip"), v.alias("value")))
@@ -142,8 +144,8 @@ def found(text: Column, pattern: str, guard: str, keep) -> Column:
 
     chunks = _chunked(steps, lambda i, part: F.aggregate(part, nothing, step))
     spans = F.aggregate(chunks, nothing, shift, lambda acc: acc["out"])
-    sure = F.contains(text, F.lit(guard)) if guard == "@" else text.rlike(guard)
-    return F.when(sure, spans).otherwise(empty)
+    sure = F.contains(text, F.lit(guard)) if guard in PLAIN else text.rlike(guard)
+    return F.when(sure if need is None else need & sure, spans).otherwise(empty)
 
 
 def _digits(value: Column) -> Column:
@@ -204,18 +206,18 @@ def _features(kind: str, text: Column, s: Column) -> Column:
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
-def matched(kind: str, text: Column) -> Column:
-    """(start, end, value) of all matches of a kind's base pattern that may be worth a look."""
-    return found(text, BASE[kind], GUARD[kind], PROPOSE[kind])
+def matched(kind: str, text: Column, digit: Column | None = None) -> Column:
+    """(start, end, value) of all matches of a kind's base pattern that may be worth a look. ``digit``: whether the text has one."""
+    return found(text, BASE[kind], GUARD[kind], PROPOSE[kind], None if kind == "email" else digit)
 
 
 def accepted(kind: str, spans: Column) -> Column:
     return F.filter(spans, lambda s: F.coalesce(ACCEPT[kind](s["value"]), F.lit(False)))
 
 
-def proposed(kind: str, text: Column, spans: Column | None) -> Column:
+def proposed(kind: str, text: Column, spans: Column | None, digit: Column | None = None) -> Column:
     """What the generators of a kind propose, the matches of its base pattern (``spans``) first."""
-    more = [found(text, pattern, guard, PROPOSE[kind]) for pattern, guard in MORE[kind]]
+    more = [found(text, pattern, guard, PROPOSE[kind], digit if kind in ("card", "phone", "secret") else None) for pattern, guard in MORE[kind]]
     return F.concat(*([] if spans is None else [spans]), *more)
 
 
@@ -282,15 +284,15 @@ def _seeds(docs: DataFrame, text: str) -> DataFrame:
     """(h, kind, y, before, value, after): spans of a bounded sample of documents that the base rules judge."""
     id_ = F.col("doc_id").cast("string") if "doc_id" in docs.columns else F.lit(None).cast("string")
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    kept = docs.select(F.pmod(F.xxhash64(F.lit(41), id_, F.col(f"`{text}`")), F.lit(1 << 30)).alias("h"), F.col(f"`{text}`").alias("t")).where(F.col("t").isNotNull() & (F.col("h") < int(share * (1 << 30))))
+    kept = docs.select(F.pmod(F.xxhash64(F.lit(41), id_, F.col(f"`{text}`")), F.lit(1 << 30)).alias("h"), F.col(f"`{text}`").alias("t")).where(F.col("t").isNotNull() & (F.col("h") < int(share * (1 << 30)))).withColumn("digit", F.col("t").rlike("[0-9]"))
     t = F.col("t")
     parts = []
     for k, kind in enumerate(KINDS):
         if kind in BASE_KINDS:
-            spans, good = matched(kind, t), lambda s, before, kind=kind: F.coalesce(ACCEPT[kind](s["value"]), F.lit(False))
+            spans, good = matched(kind, t, F.col("digit")), lambda s, before, kind=kind: F.coalesce(ACCEPT[kind](s["value"]), F.lit(False))
         else:
             # a credential is what a name of one is given; one that stands after a word against is none
-            spans = found(t, *MORE[kind][0], PROPOSE[kind])
+            spans = found(t, *MORE[kind][0], PROPOSE[kind], F.col("digit"))
             good = lambda s, before: F.when(before.rlike(rf"(?i)(?:{TELLING['secret']})\w* ?[=:] ?[\"']?$"), True).when(F.lower(before).rlike(AGAINST), False)
 
         def seed(s, k, good):
@@ -461,13 +463,14 @@ def detect(docs: DataFrame, text: str = "text", model: Model | None = None, base
     model = model or fit(docs, text)
     t = F.coalesce(F.col(text), F.lit(""))
     # columns of their own, so that each is worked out once
-    at = docs.withColumns({f"_m_{k}": matched(k, t) for k in BASE_KINDS})
+    at = docs.withColumn("_digit", t.rlike("[0-9]"))
+    at = at.withColumns({f"_m_{k}": matched(k, t, F.col("_digit")) for k in BASE_KINDS})
     plain = lambda k: lambda s: F.struct(F.lit(KINDS.index(k)).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     sure = F.concat(*(F.transform(accepted(k, F.col(f"_m_{k}")), plain(k)) for k in BASE_KINDS))
     at = at.withColumn("_base", sure if base else F.array().cast("array<struct<kind:int,start:int,end:int>>"))
     free = lambda spans: F.filter(spans, lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    at = at.withColumns({f"_p_{k}": free(proposed(k, t, F.col(f"_m_{k}") if k in BASE_KINDS else None)) for k in KINDS})
-    at = at.withColumn("_p", F.concat(*(described(k, t, F.col(f"_p_{k}")) for k in KINDS))).drop(*(f"_m_{k}" for k in BASE_KINDS), *(f"_p_{k}" for k in KINDS))
+    at = at.withColumns({f"_p_{k}": free(proposed(k, t, F.col(f"_m_{k}") if k in BASE_KINDS else None, F.col("_digit"))) for k in KINDS})
+    at = at.withColumn("_p", F.concat(*(described(k, t, F.col(f"_p_{k}")) for k in KINDS))).drop("_digit", *(f"_m_{k}" for k in BASE_KINDS), *(f"_p_{k}" for k in KINDS))
     limits = f"array({', '.join(f'{float(x)!r}D' for x in model.thresholds)})"
     scored = f"transform(_p, c -> struct(c.kind AS kind, c.start AS start, c.end AS end, {model.probability('c.kind', 'c.x')} AS p))"
     at = at.withColumn("_m", F.expr(f"CASE WHEN size(_p) > 0 THEN filter({scored}, c -> c.p >= {limits}[c.kind]) END")).drop("_p")
