@@ -28,14 +28,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(table: DataFrame, small: int = SMALL_BYTES) -> DataFrame:
-    """A table of at most ``small`` bytes with its rows dealt to all cores; a larger one as it is.
+    """A table of at most ``small`` bytes in fewer files than there are cores, with its rows dealt to all of these; others as they are.
 
     For costly work on each row: a small file of one row group is one task,
     however many cores there are. Never more than ``small`` bytes are shuffled.
     """
-    spark = table.sparkSession
+    cores = table.sparkSession.sparkContext.defaultParallelism
     held = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return table.repartition(spark.sparkContext.defaultParallelism) if held <= small else table
+    return table.repartition(cores) if held <= small and len(table.inputFiles()) < cores else table
 
 
 def numbered_rows(df: DataFrame, out: str, scratch: Scratch | None = None) -> DataFrame:

@@ -297,6 +297,21 @@ def test_small_tables_are_dealt_large_ones_stay(spark, tmp_path):
     assert files.spread(table, small=0) is table
 
 
+def test_no_folder_of_one_machine_on_a_cluster():
+    from types import SimpleNamespace
+
+    from bibweave.scratch import LOCAL_DEFAULT, shared_dir
+
+    def session(master, folder=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: folder or default), sparkContext=SimpleNamespace(master=master))
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master))
+        assert shared_dir(session(master, "hdfs://a/b/")) == "hdfs://a/b"
+    assert shared_dir(session("local[8]")) == shared_dir(session("local")) == LOCAL_DEFAULT
+
+
 def test_scratch_leaves_nothing_behind(spark):
     with_bucket = Scratch(spark)
     got = with_bucket.save_by(spark.range(100), "id", 4)
