@@ -115,14 +115,17 @@ class Profiles:
 
 
 def learn(df: DataFrame, text: str, code: str, sample_rows: int = SAMPLE_ROWS) -> Profiles:
-    """Fits ``Profiles`` to texts and their language codes, on about ``sample_rows`` texts a language, by a hash of the text.
+    """Fits ``Profiles`` to texts and their language codes, on about ``sample_rows`` texts a language, by a hash of the text; copies count once.
 
     Rows with a null in either are left out, as are languages without letters.
     The profiles, 256 KB a language, are shipped with the function that uses them.
     """
     rows = df.select(F.col(code).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
-    many = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    kept = rows.join(many, "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(float(sample_rows) * (1 << 30)) / F.col("_n")).select("lang", "text")
+    many = rows.groupBy("lang").count().collect()  # one row a language
+    if not many:
+        return Profiles([], np.zeros((1 << ngrams.BITS, 0), np.int32))
+    most = F.create_map(*(F.lit(x) for r in many for x in (r["lang"], sample_rows / r["count"] * (1 << 30))))
+    kept = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.try_element_at(most, F.col("lang"))).distinct()
     counts = kept.mapInArrow(ngrams.counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     codes = sorted(set(counts["lang"].to_pylist()))
     return Profiles(codes, ngrams.log_probabilities(counts, codes) if codes else np.zeros((1 << ngrams.BITS, 0), np.int32))
