@@ -469,7 +469,9 @@ def detect(docs: DataFrame, text: str = "text", model: Model | None = None, base
     sure = F.concat(*(F.transform(accepted(k, F.col(f"_m_{k}")), plain(k)) for k in BASE_KINDS))
     at = at.withColumn("_base", sure if base else F.array().cast("array<struct<kind:int,start:int,end:int>>"))
     free = lambda spans: F.filter(spans, lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    at = at.withColumns({f"_p_{k}": free(proposed(k, t, F.col(f"_m_{k}") if k in BASE_KINDS else None, F.col("_digit"))) for k in KINDS})
+    # what a base rule accepts needs no proposal: texts with very many such spans are not compared with themselves
+    left = {k: F.filter(f"_m_{k}", (lambda k: lambda s: ~F.coalesce(ACCEPT[k](s["value"]), F.lit(False)))(k)) if base else F.col(f"_m_{k}") for k in BASE_KINDS}
+    at = at.withColumns({f"_p_{k}": free(proposed(k, t, left.get(k), F.col("_digit"))) for k in KINDS})
     at = at.withColumn("_p", F.concat(*(described(k, t, F.col(f"_p_{k}")) for k in KINDS))).drop("_digit", *(f"_m_{k}" for k in BASE_KINDS), *(f"_p_{k}" for k in KINDS))
     limits = f"array({', '.join(f'{float(x)!r}D' for x in model.thresholds)})"
     scored = f"transform(_p, c -> struct(c.kind AS kind, c.start AS start, c.end AS end, {model.probability('c.kind', 'c.x')} AS p))"
