@@ -249,12 +249,8 @@ def _prefix_pairs(opened: DataFrame, percent: int, scratch: Scratch) -> DataFram
     return pairs
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, scratch: Scratch | None = None) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
-
-    Documents are linked where 100 * shared >= percent * united shingles of
-    ``width`` words; ``component_id`` is the smallest doc_id that links lead to.
-    """
+def _grouped(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n_shingles, digest) of all documents, and (digest, id, component_id) of the classes whose id is known."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = scratch or Scratch(spark)
@@ -297,7 +293,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         found = links.count()
         for round_ in range(1, STAR_ROUNDS + 1):
             scratch.drop(labels)
-            labels = connected_components(links, scratch)
+            labels = connected_components(links, scratch, distinct=True)
             now = member.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
             # buckets that still hold more than one component
             open_ = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
@@ -319,20 +315,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             done = scratch.save(done.unionByName(more))
             links = scratch.save(links.unionByName(fresh))
             scratch.drop(more, fresh, now)
-        opened = scratch.save(sets.join(now.select("id", "c").distinct(), "id").select("id", "c", "shingles"))
+        # a class is of one component, so grouping by its id is enough, and the join needs no further exchange
+        opened = scratch.save(sets.join(now.groupBy("id").agg(F.min("c").alias("c")), "id").select("id", "c", "shingles"))
         if not opened.isEmpty():
             rest = exact(_prefix_pairs(opened, percent, scratch))
             if not rest.isEmpty():
-                labels = connected_components(links.unionByName(rest), scratch)
+                labels = connected_components(links.unionByName(rest), scratch, distinct=True)
         scratch.drop(sets, opened, now, done, member, pairs)
 
-    # each row finds its class by its set, and the class its component
     out = classes.select("digest", "id")
     if labels is not None:
-        out = out.join(labels.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
+        out = out.join(labels.withColumnRenamed("node", "id"), "id", "left").select("digest", "id", F.coalesce("component", "id").alias("component_id"))
     else:
-        out = out.select("digest", F.col("id").alias("component_id"))
-    full = signed.select("doc_id", "n_shingles", "digest").join(out, "digest", "left")
+        out = out.withColumn("component_id", F.col("id"))
+    return signed.select("doc_id", "n_shingles", "digest"), out
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked where 100 * shared >= percent * united shingles of
+    ``width`` words; ``component_id`` is the smallest doc_id that links lead to.
+    ``options`` are those of ``_grouped``.
+    """
+    signed, classes = _grouped(docs, **options)
+    # each row finds its class by its set, and the class its component
+    full = signed.join(classes.drop("id"), "digest", "left")
     component = F.coalesce("component_id", "doc_id")
     return full.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
@@ -343,6 +351,8 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     Rows without a doc_id cannot be named and stay as they are.
     """
     own = f"k{uuid.uuid4().hex}"  # a name that no input column has
-    found = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias(own)).distinct()
+    signed, classes = _grouped(docs, **options)
+    # the least id of a group is that of one of its classes, so rows need not find their classes; without words a row is a group
+    found = classes.where("id = component_id").select(F.col("id").alias(own)).unionByName(signed.where("digest is null and doc_id is not null").select(F.col("doc_id").alias(own))).distinct()
     one = docs.join(found, F.col("doc_id") == F.col(own), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))

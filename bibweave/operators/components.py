@@ -45,16 +45,18 @@ def _settled(batches):
         yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([root(x) for x in nodes], kind)], ["u", "p"])
 
 
-def connected_components(edges: DataFrame, scratch: Scratch | None = None, small: int = SMALL_EDGES) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None, small: int = SMALL_EDGES, distinct: bool = False) -> DataFrame:
     """Rows (node, component) for each end of ``edges`` (its first two columns).
 
     ``component`` is the smallest node of the group. Edges with a null end are
     ignored; an edge from a node to itself keeps that node as a group of one.
+    ``distinct`` says that no edge is repeated, which spares a shuffle; with repeats the result is the same.
     """
     scratch = scratch or Scratch(edges.sparkSession)
     a, b = edges.columns[:2]
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
-    pairs = scratch.save(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = scratch.save(pairs if distinct else pairs.distinct())
     kind = pairs.schema["u"].dataType
     labels = None
     graph = pairs

@@ -443,6 +443,46 @@ def test_minhash_deduplicate(docs, rows):
     assert sorted(r.doc_id for r in got.where("doc_id is not null").collect()) == sorted(set(group.values()))
 
 
+def test_minhash_deduplicate_keeps_what_names_a_group(spark):
+    """Ids of several texts, texts of several ids, rows without words or without an id: as near_duplicates has it."""
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(1, text), (2, text + " and"), (3, "one two three four five six"), (3, text), (4, "one two three four five six"), (5, None), (6, " "), (6, "of its own, this one is"), (7, text), (0, text + " and"), (0, None), (None, text), (None, "known to none of the others")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in minhash.near_duplicates(docs).where("kept and doc_id is not null").collect()}
+    assert kept == {0, 3, 5, 6}
+    got = [r.doc_id for r in minhash.deduplicate(docs).collect()]
+    assert got.count(None) == 2 and sorted(x for x in got if x is not None) == sorted(kept)
+
+
+def test_minhash_deduplicate_spares_the_driver_tasks(spark, monkeypatch):
+    """Tasks are what the driver keeps account of: on few rows in many partitions there are no more than the steps need."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for _ in range(150):
+        w = [f"b{j}" for j in range(120)]
+        for at in rng.choice(120, int(rng.integers(0, 14)), replace=False):
+            w[at] = f"m{rng.integers(1 << 40)}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in own}
+    sc, group = spark.sparkContext, "tasks of deduplicate"
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup(group, group)
+        minhash.deduplicate(docs, width=4).write.format("noop").mode("overwrite").save()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    shuffled = sum(1 for s in stages if (i := tracker.getStageInfo(s)) and i.numTasks >= 40 and i.numCompletedTasks)
+    assert 0 < shuffled <= 19  # 18; with needless shuffles 22
+
+
 def test_minhash_deduplicate_any_column_names(spark):
     rows = [(i, "a b c d e f g " * 3 + str(i // 2), 1, 2, "x", 3) for i in range(6)]
     got = minhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, _kept int, id int, key string, component_id int"))
