@@ -252,6 +252,13 @@ def test_unlink_pairs(spark):
     assert identity.unlink_pairs(df.where("false")).count() == 0
 
 
+def test_unlink_pairs_are_dealt_to_many_tasks(spark):
+    """Some KB of names make many pairs: Spark would put them into one task."""
+    df = spark.range(3000).selectExpr("cast(id % 3 as string) AS manual_id", "cast(id as string) AS orig_id")
+    per = identity.unlink_pairs(df).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per) == 6_000_000 and max(r["count"] for r in per) < 1_500_000
+
+
 def test_numbered_rows_follow_the_order_of_writing(spark, tmp_path):
     rows = spark.range(500).select(((F.col("id") * 7919) % 500).alias("v"), F.lit(3).alias("n"), F.lit("x").alias("n_0"))
     rows.repartitionByRange(12, "v").sortWithinPartitions("v").write.option("maxRecordsPerFile", 17).parquet(str(tmp_path / "t"))
