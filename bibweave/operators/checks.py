@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bibweave.operators.keys import RULES, stacked
+from bibweave.scratch import Scratch
+
 #: Share of the last run's rows that a table must have at least.
 LEAST_SHARE = 0.8
 
@@ -52,6 +56,61 @@ def all_matches_survived(matches: DataFrame, sources: DataFrame, unlink: DataFra
     return none_of(apart.join(held, ["all1_id", "all2_id"], "left_anti"), "all_matches_survived")
 
 
+def _weights(rules: tuple[tuple[str, ...], ...]) -> dict[tuple[str, ...], int]:
+    """By inclusion and exclusion, for sets of keys: a pair of rows that agree in just the keys E is matched by a rule
+    if and only if the weights of the sets within E sum up to 1, and else they sum up to 0."""
+    keys = tuple(dict.fromkeys(k for r in rules for k in r))
+    weight: dict[tuple[str, ...], int] = {}
+    for n in range(1, len(keys) + 1):
+        for s in combinations(keys, n):
+            weight[s] = int(any(set(r) <= set(s) for r in rules)) - sum(w for t, w in weight.items() if set(t) < set(s))
+    return {s: w for s, w in weight.items() if w}
+
+
+def keys_survived(rows: DataFrame, sources: DataFrame, unlink: DataFrame, rules=RULES, scratch: Scratch | None = None) -> DataFrame:
+    """``all_matches_survived`` of the pairs that ``rules`` give, without making them.
+
+    ``rows`` has id and hashed keys, as ``hashed_keys`` gives them. Pairs that agree in a set of
+    keys are counted as squares of the sizes of its groups, less those with one
+    merged id, and the rules are summed up by inclusion and exclusion. Only ids
+    with several different rows are matched pair by pair.
+    """
+    scratch = scratch or Scratch(rows.sparkSession)
+    weights = _weights(rules)
+    keys = [k for k in dict.fromkeys(k for r in rules for k in r)]
+    own = F.struct(*keys)
+    per = scratch.save(rows.groupBy("id").agg(F.min(own).alias("k"), F.max(own).alias("last")))
+    single = F.col("k").eqNullSafe(F.col("last"))
+    merged = sources.select(F.col("orig_id").alias("_id"), F.col("merged_id").alias("_m"))
+    one = scratch.save(per.where(single).select("id", "k.*").join(merged, F.col("id") == F.col("_id"), "left").drop("_id"))
+    each = [F.when(reduce(Column.__and__, (F.col(k).isNotNull() for k in s)), F.struct(F.lit(w).alias("w"), F.lit(i).alias("i"), F.xxhash64(F.lit(i), *s).alias("h1"), F.xxhash64(*s, F.lit(i + 1000)).alias("h2"))) for i, (s, w) in enumerate(weights.items())]
+    in_sets = one.select("_m", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("g")).select("_m", "g.*")
+    together_ = in_sets.groupBy("w", "i", "h1", "h2", "_m").agg(F.count(F.lit(1)).alias("n"))
+    sizes = together_.groupBy("w", "i", "h1", "h2").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("_m").isNotNull(), F.col("n") * F.col("n")).otherwise(0)).alias("same"))
+    counted = sizes.select((F.col("w") * (F.col("n") * F.col("n") - F.col("same"))).alias("n"))
+
+    def end(n: int) -> DataFrame:
+        return one.select(*(F.col(c).alias(f"{c}{n}") for c in one.columns))
+
+    apart = F.col("_m1").isNull() | F.col("_m2").isNull() | (F.col("_m1") != F.col("_m2"))
+    held = unlink.select(F.col(unlink.columns[0]).alias("id1"), F.col(unlink.columns[1]).alias("id2")).distinct()
+    matched = reduce(Column.__or__, (reduce(Column.__and__, (F.col(f"{k}1") == F.col(f"{k}2") for k in r)) for r in rules))
+    spared = held.join(end(1), "id1").join(end(2), "id2").where(matched & apart).select(F.lit(-1).cast("long").alias("n"))
+    total = counted.unionByName(spared)
+    several = per.where(~single).select(F.col("id").alias("_id"))
+    if not several.isEmpty():
+        stack = scratch.save(stacked(rows.select("id", *keys), rules, hashed=True))
+        some = stack.join(several, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+        ends = some.select("rule", "key", F.col("id").alias("id1")).join(stack.select("rule", "key", F.col("id").alias("id2")), ["rule", "key"]).select("id1", "id2").distinct()
+        # pairs whose second id has one row are there in one order only
+        twice = ends.join(several, F.col("id2").eqNullSafe(F.col("_id")), "left_anti").select(F.col("id2").alias("id1"), F.col("id1").alias("id2"))
+        pairs = ends.unionByName(twice)
+        m = lambda n: merged.select(F.col("_id").alias(f"id{n}"), F.col("_m").alias(f"_m{n}"))
+        bad = pairs.join(m(1), "id1", "left").join(m(2), "id2", "left").where(apart).join(held, ["id1", "id2"], "left_anti")
+        total = total.unionByName(bad.select(F.lit(1).cast("long").alias("n")))
+    return _row(total.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")), "all_matches_survived", F.col("n") == 0, F.col("n"))
+
+
 def no_nulls(df: DataFrame, columns: tuple[str, ...], name: str) -> DataFrame:
     return none_of(df.where(reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))), name)
 

@@ -39,9 +39,9 @@ def _hash(key: str) -> Column:
     return F.md5(F.col(key).cast("string").cast("binary"))
 
 
-def hashed_keys(df: DataFrame, keys: tuple[str, ...] = (*STRONG, *WEAK), *, listed: bool = True, id_: str = "id") -> DataFrame:
-    """id and, for each key, the hash of its value, null where the value is not usable: what a row needs to be matched."""
-    return df.select(F.col(id_).alias("id"), *(F.when(usable(k, listed=listed), _hash(k)).alias(k) for k in keys))
+def hashed_keys(df: DataFrame, keys: tuple[str, ...] = (*STRONG, *WEAK), *, listed: bool = True, id_: str = "id", also: tuple[str, ...] = ()) -> DataFrame:
+    """id, the columns ``also`` and, for each key, the hash of its value, null where the value is not usable: what a row needs to be matched."""
+    return df.select(F.col(id_).alias("id"), *also, *(F.when(usable(k, listed=listed), _hash(k)).alias(k) for k in keys))
 
 
 def frequent(df: DataFrame, keys: tuple[str, ...] = FILTERED, most: int = MOST_IDS, id_: str = "id", *, hashed: bool = False) -> DataFrame:

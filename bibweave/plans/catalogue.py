@@ -11,10 +11,10 @@ from bibweave.functions import text as T
 from bibweave.functions.describe import article_desc
 from bibweave.functions.language import learn, tag
 from bibweave.operators import checks, identity, match, sampling, simhash
-from bibweave.operators.keys import RULES, drop_frequent
+from bibweave.operators.keys import FILTERED, RULES, STRONG, WEAK, drop_frequent, hashed_keys, stacked
 from bibweave.plans import linkage, views
 from bibweave.plans.views import table, with_sql
-from bibweave.scratch import Scratch
+from bibweave.scratch import Scratch, small_batches
 from bibweave.sources import catalogues as C
 from bibweave.sources import files
 
@@ -40,6 +40,19 @@ def _filtered(spark: SparkSession, sf: str) -> DataFrame:
     return drop_frequent(Scratch(spark).save(T.normalise(views.articles(spark, sf)).drop("title", "abstract", "last_names")))
 
 
+#: The columns that match keys are made of, where they are not there already.
+_MADE_OF = {f"{c}_norm": c for c in T.CLEANERS}
+
+
+def _keys(spark: SparkSession, sf: str, rules: tuple[tuple[str, ...], ...] = RULES, listed: bool = True, **instead) -> DataFrame:
+    """Stacked keys of these rules: only what they need is normalised, only hashes are written; the frequent keys gone."""
+    wanted, scratch = tuple(k for k in (*STRONG, *WEAK) if any(k in r for r in rules)), Scratch(spark)
+    rows = T.normalise(views.articles(spark, sf), tuple(_MADE_OF[k] for k in wanted if k in _MADE_OF)).withColumns(instead)
+    slim = scratch.save(hashed_keys(rows, wanted, listed=listed))
+    filtered = tuple(k for k in FILTERED if k in wanted)
+    return stacked(drop_frequent(slim, filtered, hashed=True, scratch=scratch) if filtered else slim, rules, hashed=True)
+
+
 # Ids that take part
 
 
@@ -189,6 +202,7 @@ def clean_notices(spark, sf):
 
 @query(f"SELECT page_id, {views._KEY('html')} AS html_norm FROM pages")
 def clean_html(spark, sf):
+    small_batches(spark)
     return files.spread(table(spark, sf, "pages")).select("page_id", T.title_key(F.col("html")).alias("html_norm"))
 
 
@@ -226,7 +240,7 @@ def _match_sql(s: str, o: str) -> str:
 
 def _rule(s: str, o: str) -> Query:
     def run(spark, sf):
-        return match.match(_filtered(spark, sf), s, o)
+        return match.key_pairs(_keys(spark, sf, ((s, o),)))
 
     run.__name__ = f"match_{s}_{o}"
     return run
@@ -241,7 +255,8 @@ for _s, _o in RULES:
     AND a.last_names_norm <> '' AND a."references" <> '' AND a.clean_doi <> ''""".replace("docs3", "(SELECT id, last_names_norm, clean_doi, dataset || ',' || year AS \"references\" FROM filt_v)"), "filt_v",
 )
 def match_three_keys(spark, sf):
-    return match.match_three(_filtered(spark, sf).withColumn("references", F.concat("dataset", F.lit(","), F.col("year").cast("string"))))
+    references = F.concat("dataset", F.lit(","), F.col("year").cast("string"))
+    return match.key_pairs(_keys(spark, sf, (match.THREE_KEYS,), listed=False, references=references))
 
 
 _METADATA_MATCH = " UNION ".join(_match_sql(s, o) for s, o in RULES)
@@ -249,7 +264,7 @@ _METADATA_MATCH = " UNION ".join(_match_sql(s, o) for s, o in RULES)
 
 @query(f"SELECT DISTINCT all1_id, all2_id FROM ({_METADATA_MATCH})", "filt_v")
 def metadata_match(spark, sf):
-    return match.metadata_match(_filtered(spark, sf))
+    return match.key_pairs(_keys(spark, sf))
 
 
 @query("SELECT 'A' || s_suppkey * 3 AS id1, 'http://p/' || s_suppkey AS id2 FROM supplier WHERE s_nationkey % 2 = 1 AND s_suppkey * 3 IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'http://p/' || s_suppkey, 'A' || s_suppkey * 3 FROM supplier WHERE s_nationkey % 2 = 1 AND s_suppkey * 3 IN (SELECT c_custkey FROM customer)")
@@ -283,8 +298,8 @@ _LINKS = "l AS (SELECT 'doc_' || doc_id AS id1, 'lab_' || (doc_id % 300) AS id2
 
 @query(f", m AS ({_METADATA_MATCH}), {_LINKS} SELECT id AS id1, id AS id2 FROM filt_v WHERE id NOT IN (SELECT all1_id FROM m) AND id NOT IN (SELECT id1 FROM l)", "filt_v")
 def self_pairs(spark, sf):
-    df = _filtered(spark, sf)
-    return match.self_pairs(df, match.metadata_match(df), _label_links(spark, sf))
+    # an id with a key matches itself, so it is first in a pair
+    return match.self_pairs(views.articles(spark, sf), _keys(spark, sf).select("id"), _label_links(spark, sf))
 
 
 @query(
@@ -292,8 +307,7 @@ def self_pairs(spark, sf):
     UNION ALL SELECT all1_id, all2_id FROM m UNION ALL SELECT id1, id2 FROM l)""", "filt_v",
 )
 def all_match_pairs(spark, sf):
-    df = _filtered(spark, sf)
-    return match.all_match_pairs(df, match.metadata_match(df), _label_links(spark, sf))
+    return match.every_pair(views.articles(spark, sf), _keys(spark, sf), _label_links(spark, sf))
 
 
 # Groups and merged ids
@@ -313,14 +327,12 @@ def _groups_sql(unlink: bool) -> str:
 
 @query(f"{_groups_sql(False)} SELECT root, orig_id FROM g", "filt_v")
 def connected_components(spark, sf):
-    df = _filtered(spark, sf)
-    return identity.match_groups(match.all_match_pairs(df, match.metadata_match(df), _label_links(spark, sf)))
+    return _run(spark, sf).groups
 
 
 @query(f"{_groups_sql(True)} SELECT root, orig_id FROM g", "filt_v", "unlink_v")
 def components_unlinked(spark, sf):
-    df = _filtered(spark, sf)
-    return identity.match_groups(match.all_match_pairs(df, match.metadata_match(df), _label_links(spark, sf)), views.unlink(spark, sf))
+    return _run(spark, sf, unlink=True).groups
 
 
 _NAMED = "'carticle_' || lpad({}::VARCHAR, 10, '0')"
@@ -395,7 +407,7 @@ def check_all_ids_survived(spark, sf):
     LEFT JOIN unlink_v u ON all1_id = u.id1 AND all2_id = u.id2 WHERE u.id1 IS NULL AND (a.merged_id IS NULL OR b.merged_id IS NULL OR a.merged_id <> b.merged_id)""", "filt_v", "previous_v", "unlink_v",
 )
 def check_matches_survived(spark, sf):
-    return checks.all_matches_survived(metadata_match(spark, sf), views.previous(spark, sf), views.unlink(spark, sf))
+    return checks.keys_survived(_run(spark, sf).usable, views.previous(spark, sf), views.unlink(spark, sf))
 
 
 @query("SELECT 'not_shrunk_events' AS check_name, count(*) FILTER (WHERE event_type <> 'click') >= 0.8 * count(*) AS passed, count(*) FILTER (WHERE event_type <> 'click') AS found FROM events")

@@ -36,30 +36,42 @@ class Linkage:
         """Whole rows, their frequent keys nulled."""
         return drop_frequent(self.normalised, scratch=self.scratch)
 
+    @cached_property
+    def hashed(self) -> DataFrame:
+        """id, dataset and the hashes of the keys: what the rest of a run reads. No text is shuffled."""
+        return self.scratch.save(hashed_keys(normalise(self.metadata), also=("dataset",)))
+
+    @cached_property
+    def usable(self) -> DataFrame:
+        """The same, their frequent keys nulled."""
+        return self.scratch.save(drop_frequent(self.hashed, hashed=True, scratch=self.scratch))
+
     @cached_property
     def keys(self) -> DataFrame:
-        """Frequent keys are found among hashes alone; no text is shuffled."""
-        slim = self.scratch.save(hashed_keys(normalise(self.metadata)))
-        return self.scratch.save(stacked(drop_frequent(slim, hashed=True, scratch=self.scratch), self.rules, hashed=True))
+        return self.scratch.save(stacked(self.usable, self.rules, hashed=True))
 
     @cached_property
     def matches(self) -> DataFrame:
-        return key_pairs(self.keys)
+        return key_pairs(self.keys, self.scratch)
 
     @cached_property
-    def mapping(self) -> DataFrame:
+    def groups(self) -> DataFrame:
+        """(root, orig_id) of all ids, those known from links alone included."""
         edges = group_edges(self.keys, identity.symmetric(self.unlink))
         # each id stands for itself: that adds nothing to a group, and none is lost
-        pairs = edges.unionByName(self.metadata.select(F.col("id").alias("id1"), F.col("id").alias("id2")))
+        pairs = edges.unionByName(self.hashed.select(F.col("id").alias("id1"), F.col("id").alias("id2")))
         for x in self.links:
             pairs = pairs.unionByName(x.toDF("id1", "id2"))
-        groups = identity.match_groups(pairs, self.unlink, self.scratch)
+        return identity.match_groups(pairs, self.unlink, self.scratch)
+
+    @cached_property
+    def mapping(self) -> DataFrame:
         dropped = None if self.previous is None else identity.ids_to_drop(self.previous, self.unlink)
-        return self.scratch.save(identity.assign_ids(groups, self.previous, dropped, self.prefix, self.highest, self.scratch))
+        return self.scratch.save(identity.assign_ids(self.groups, self.previous, dropped, self.prefix, self.highest, self.scratch))
 
     @cached_property
     def sources(self) -> DataFrame:
-        return self.scratch.save(identity.sources(self.mapping, self.metadata))
+        return self.scratch.save(identity.sources(self.mapping, self.hashed))
 
     @cached_property
     def references(self) -> DataFrame:
@@ -68,7 +80,7 @@ class Linkage:
     @cached_property
     def checks(self) -> DataFrame:
         return checks.together(
-            checks.unique_input_ids(self.ids), checks.unique_sources(self.sources), checks.all_ids_survived(self.ids, self.sources), checks.all_matches_survived(self.matches, self.sources, identity.symmetric(self.unlink)),
+            checks.unique_input_ids(self.ids), checks.unique_sources(self.sources), checks.all_ids_survived(self.ids, self.sources), checks.keys_survived(self.usable, self.sources, identity.symmetric(self.unlink), self.rules, self.scratch),
             checks.no_nulls(self.references, ("merged_id", "ref_id"), "no_null_references"), checks.no_nulls(self.sources, ("dataset",), "no_null_datasets"),
         )
 

@@ -529,3 +529,81 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "g.csv").write_text("manual_id,orig_id\n1,a\n1,b\n2,d\n2,e\n3,f\n")
     main(["unlink", out + "g.csv", out + "u"])
     assert spark.read.parquet(out + "u").count() == 16
+
+
+# Pairs that are not shuffled, gates without pairs
+
+
+def _rows_with_repeats(spark, seed, n=150):
+    """Rows of keys, some ids with several rows, some without an id, one list of references that most share."""
+    dice = random.Random(seed)
+    rows = []
+    for i in range(n):
+        id_ = None if dice.random() < 0.02 else f"i{i if dice.random() < 0.8 else dice.randrange(n)}"
+        rows.append((id_, *(dice.choice((None, "", "a", "b", "c", f"u{i}")) for _ in range(3)), dice.choice(("1,2,3", "1,2,3", "4,5,6", "1,2", None)), dice.choice((None, 1990, 1991)), dice.choice(("x", "y", ""))))
+    return spark.createDataFrame(rows, "id string, title_norm string, abstract_norm string, clean_doi string, references string, year long, last_names_norm string")
+
+
+def _by_force(df):
+    rows = [r.asDict() for r in df.collect()]
+
+    def ok(k, v):
+        return v is not None and v != "" and (k != "references" or len(v.split(",")) > 2)
+
+    return {(a["id"], b["id"]) for a in rows for b in rows if any(all(ok(k, a[k]) and a[k] == b[k] for k in r) for r in RULES)}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_pairs_are_distinct_without_a_shuffle(spark, seed, monkeypatch):
+    monkeypatch.setattr(match, "BLOCK", 16)
+    df = _rows_with_repeats(spark, seed)
+    expected, out = _by_force(df), match.key_pairs(stacked(df))
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert "HashAggregate" not in out._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    # of one rule
+    assert sorted(map(str, match.match(df, "references", "year").collect())) == sorted(map(str, _pairs_of_rule(df, "references", "year").collect()))
+    links = spark.createDataFrame([("i1", "i2"), ("i2", "i1"), ("z", "i3"), ("i3", "z"), (None, "q"), ("z", "i3")], PAIRS)
+    every = [tuple(r) for r in match.every_pair(df, stacked(df), links).collect()]
+    whole = match.all_match_pairs(df, spark.createDataFrame(sorted(expected, key=str), PAIRS), links)
+    assert len(every) == len(set(every)) and set(every) == {tuple(r) for r in whole.collect()}
+
+
+def _pairs_of_rule(df, *rule):
+    k = stacked(df, (rule,))
+    return k.select(F.col("id").alias("all1_id"), "key").join(k.select(F.col("id").alias("all2_id"), "key"), "key").select("all1_id", "all2_id").distinct()
+
+
+def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
+    """A group of 600 ids makes 360,000 pairs, in no task more than two blocks do."""
+    monkeypatch.setattr(match, "BLOCK", 100)
+    monkeypatch.setattr(match, "TASK_PAIRS", 10_000)
+    df = spark.range(600).selectExpr("cast(id as string) AS id", "'1,2,3' AS references", "1L AS year")
+    per = match.match(df, "references", "year").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per) == 360_000 and max(r["count"] for r in per) < 90_000
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_gate_on_matches_counts_without_pairs(spark, seed):
+    df = _rows_with_repeats(spark, seed)
+    dice = random.Random(seed)
+    found = spark.createDataFrame([(f"m{dice.randrange(4)}", f"i{i}") for i in range(150) if i % 7], "merged_id string, orig_id string")
+    unlink = identity.symmetric(spark.createDataFrame([(f"i{dice.randrange(40)}", f"i{dice.randrange(40)}") for _ in range(60)], PAIRS))
+    expected = checks.all_matches_survived(match.key_pairs(stacked(df)), found, unlink).first()
+    assert checks.keys_survived(hashed_keys(df), found, unlink).first() == expected and expected.found > 1000
+    one = df.dropDuplicates(["id"]).where("id is not null")
+    assert checks.keys_survived(hashed_keys(one), found, unlink).first() == checks.all_matches_survived(match.key_pairs(stacked(one)), found, unlink).first()
+    assert checks.keys_survived(hashed_keys(one), found.withColumn("merged_id", F.lit("m")), unlink).first().found == checks.all_matches_survived(match.key_pairs(stacked(one)), found.withColumn("merged_id", F.lit("m")), unlink).first().found
+
+
+def test_gates_and_groups_make_no_pairs(spark):
+    """3,000 ids share their references and year: 9 million pairs. The gate and the groups read some rows for each id."""
+    df = spark.range(3000).selectExpr("cast(id as string) AS id", "cast(null as string) AS title", "cast(null as string) AS abstract", "cast(null as string) AS clean_doi", "1L AS year", "cast(null as array<string>) AS last_names", "'1,2,3' AS references", "'d' AS dataset")
+    run = linkage.link(spark, df)
+    made = []
+    real = run.scratch.save
+    run.scratch.save = lambda x: (lambda out: (made.append(out.count()), out)[1])(real(x))
+    assert run.groups.select("root").distinct().count() == 1
+    assert run.checks.where("check_name = 'all_matches_survived'").first().found == 0
+    assert max(made) <= 6000
+    assert checks.keys_survived(run.usable, run.sources.limit(0), run.unlink).first().found == 9_000_000
