@@ -17,11 +17,12 @@ import unicodedata
 from collections.abc import Callable
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from bibweave.scratch import small_batches
+
 _SPACE = r"(?U)[\s\x1c-\x1f]"
 #: White space at the end, found in linear time: only the start of a run is tried.
 _TAIL = r"(?U)(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++\z"
@@ -45,13 +46,30 @@ def _bare(text: str) -> str:
     return plain if plain.isascii() else unicodedata.normalize("NFC", plain)
 
 
+_WIDE = re.compile(r"[^\x00-\x7F]+")
+#: Runs of up to so many characters are looked up once, and so many of them are kept.
+SHORT_RUN, MOST_RUNS = 8, 100_000
+
+
 def _bare_all(texts: pa.Array) -> pa.Array:
-    """The same for a batch: in Arrow for texts that become ASCII, one by one for the others, which need composing again."""
-    plain = pc.replace_substring_regex(pc.utf8_normalize(pc.utf8_normalize(texts, "NFKC"), "NFD"), r"\p{Mn}+", "")
-    wide = pc.fill_null(pc.match_substring_regex(plain, r"[^\x00-\x7F]"), False)
-    if not pc.any(wide).as_py():
+    """The same for a batch, run by run of characters beyond ASCII.
+
+    No ASCII character decomposes, and of what is left after the marks are gone none composes with one,
+    so what stands between runs stays, and runs do not depend on it. Most runs are an accented letter that was met before.
+    """
+    known: dict[str, str] = {}
+
+    def bare(found: re.Match) -> str:
+        run = found[0]
+        if (plain := known.get(run)) is None:
+            plain = _bare(run)
+            if len(run) <= SHORT_RUN:
+                if len(known) >= MOST_RUNS:
+                    known.clear()
+                known[run] = plain
         return plain
-    return pc.replace_with_mask(plain, wide, pa.array([_bare(t) for t in texts.filter(wide).to_pylist()], plain.type))
+
+    return pa.array([None if t is None else _WIDE.sub(bare, t) for t in texts.to_pylist()], pa.string())
 
 
 @F.arrow_udf(StringType())
@@ -72,16 +90,21 @@ def strip_tags(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Without white space at either end."""
-    return F.regexp_replace(F.regexp_replace(text, _TAIL, ""), rf"^{_SPACE}+", "")
+    """Without white space at either end; texts that end in none are not searched for it."""
+    return F.regexp_replace(F.when(F.right(text, F.lit(1)).rlike(_SPACE), F.regexp_replace(text, _TAIL, "")).otherwise(text), rf"^{_SPACE}+", "")
+
+
+def _without_copyright(text: Column) -> Column:
+    """Lower-cased, copyright notices cut; only texts with the word or the sign are searched for one."""
+    out = F.lower(text)
+    for pattern, needed in zip(_COPYRIGHT, ("copyright", "(c)"), strict=True):
+        out = F.when(F.contains(out, F.lit(needed)), F.regexp_replace(out, pattern, "")).otherwise(out)
+    return out
 
 
 def strip_copyright(text: Column) -> Column:
     """Lower-cases, cuts copyright notices with a year to the end of their line, and trims."""
-    out = F.lower(text)
-    for pattern in _COPYRIGHT:
-        out = F.regexp_replace(out, pattern, "")
-    return strip(out)
+    return strip(_without_copyright(text))
 
 
 def _words(text: Column) -> Column:
@@ -91,7 +114,9 @@ def _words(text: Column) -> Column:
 
 
 def _joined(text: Column) -> Column:
-    return F.nullif(F.replace(_words(text), F.lit(" "), F.lit("")), F.lit(""))
+    """The words run together, in one pass; but a capital sigma is lower-cased by where its word ends."""
+    one = F.lower(F.regexp_replace(text, "[0-9[^\\p{L}\\p{N}]]+", ""))
+    return F.nullif(F.when(F.contains(text, F.lit("\u03a3")), F.replace(_words(text), F.lit(" "), F.lit(""))).otherwise(one), F.lit(""))
 
 
 def title_key(title: Column) -> Column:
@@ -99,7 +124,8 @@ def title_key(title: Column) -> Column:
 
 
 def abstract_key(abstract: Column) -> Column:
-    return _joined(strip_copyright(strip_tags(unaccent(abstract))))
+    # white space goes anyway, so it is not trimmed before
+    return _joined(_without_copyright(strip_tags(unaccent(abstract))))
 
 
 def names_key(names: Column) -> Column:
@@ -120,8 +146,9 @@ CLEANERS: dict[str, Callable[[Column], Column]] = {"title": title_key, "abstract
 def normalise(df: DataFrame, fields: tuple[str, ...] = ("title", "abstract", "last_names")) -> DataFrame:
     """Adds ``{field}_norm`` for each field that ``df`` has; ``doi`` is cleaned in place.
 
-    Works on batch and streaming DataFrames alike. Raises ValueError for a field with no cleaner.
+    Works on batch and streaming DataFrames alike. Lowers the session's Arrow batches, as they hold whole texts. Raises ValueError for a field with no cleaner.
     """
+    small_batches(df.sparkSession)
     out = df
     for field in fields:
         if field not in df.columns:

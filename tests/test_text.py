@@ -136,3 +136,39 @@ def test_batches_are_bared_as_single_texts_are():
     every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) != "Cn"]
     texts = [*every, *(f"a{c}\u0301b" for c in every[:70_000]), None, ""]
     assert text._bare_all(pa.array(texts)).to_pylist() == [None if t is None else text._bare(t) for t in texts]
+
+
+def test_texts_are_bared_run_by_run():
+    """Each character beside ASCII ones, and runs of any, as the whole text would be; repeated runs take no time of their own."""
+    import random
+    import sys
+    import time
+
+    import pyarrow as pa
+
+    wide = [c for c in map(chr, range(128, sys.maxunicode + 1)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = ["".join(f"a{c}e{c}<" for c in wide[i : i + 500]) for i in range(0, len(wide), 500)]
+    dice = random.Random(1)
+    marked = [c for c in wide if text._bare(c) != c]
+    texts += ["".join(dice.choice((dice.choice("aeoA<= 1"), dice.choice(marked))) for _ in range(200)) for _ in range(300)]
+    assert text._bare_all(pa.array(texts)).to_pylist() == [text._bare(t) for t in texts]
+    long = pa.array(["Über die Größe, süß und weiß. " * 100_000])
+    text._bare_all(long)
+    began = time.process_time()
+    text._bare_all(long)
+    took = time.process_time() - began
+    began = time.process_time()
+    text._bare(long[0].as_py())
+    assert took < time.process_time() - began
+
+
+def test_joined_words_are_lowered_as_they_stand(spark):
+    """The end of a word tells which small sigma is meant; copyright notices are looked for only where there can be one."""
+    texts = ["ΟΔΟΣ.Α", "ΟΔΟΣ ΑΣ 1Σ", "A1Σ2B", "Straße 12 ½ Ⅷ", "  ", "12", None, "a<b>c", "x COPYRIGHT (C) 2001 y", "x (c) 1999\nz", "(C) 12 copyright 1999a \n b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = F.nullif(F.replace(text._words(F.col("t")), F.lit(" "), F.lit("")), F.lit(""))
+    cut = F.lower("t")
+    for pattern in text._COPYRIGHT:
+        cut = F.regexp_replace(cut, pattern, "")
+    for a, b, c, d in df.select(text._joined(F.col("t")), words, text._without_copyright(F.col("t")), cut).collect():
+        assert a == b and c == d
