@@ -102,7 +102,7 @@ def check_unique_ids(spark, sf):
 
 def _shown(df: DataFrame) -> DataFrame:
     """Lists as text, so that they can be compared."""
-    return df.withColumn("last_names", F.array_join(F.array_sort("last_names"), "|"))
+    return df.withColumn("last_names", F.array_join(F.sort_array("last_names"), "|"))
 
 
 @query(
@@ -147,7 +147,8 @@ def standardise_s2(spark, sf):
     WHERE publication_type IS NULL OR publication_type <> 'editorial'""", "lens_v",
 )
 def standardise_lens(spark, sf):
-    return _shown(C.lens_metadata(views.lens(spark, sf)))
+    # names are put in order before a record becomes a row for each of its DOIs
+    return C.by_doi(_shown(C.lens_records(views.lens(spark, sf))))
 
 
 @query("SELECT l_orderkey, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_partkey) AS \"references\" FROM lineitem GROUP BY l_orderkey")

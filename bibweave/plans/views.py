@@ -27,7 +27,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their parts, coarsened, as references."""
-    cited = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.col("l_partkey") % 20)), lambda x: x.cast("string")), ",").alias("references"))
+    cited = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_join(F.sort_array(F.collect_set(F.col("l_partkey") % 20)).cast("array<string>"), ",").alias("references"))
     none = F.lit(None).cast("string")
     return table(spark, sf, "orders").join(cited, "o_orderkey", "left").select(
         F.concat(F.lit("ord_"), F.col("o_orderkey").cast("string")).alias("id"), none.alias("title"), none.alias("abstract"), none.alias("clean_doi"), F.year("o_orderdate").cast("long").alias("year"),
@@ -41,7 +41,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf: str, key: str, **lists) -> DataFrame:
     """Lists of a key's lines, in the order of part and line."""
-    order = F.array_sort(F.collect_list(F.struct("l_partkey", "l_linenumber", "l_orderkey", "l_suppkey", "l_returnflag")))
+    order = F.sort_array(F.collect_list(F.struct("l_partkey", "l_linenumber", "l_orderkey", "l_suppkey", "l_returnflag")))
     rows = table(spark, sf, "lineitem").groupBy(key).agg(order.alias("_l"))
     return rows.select(key, *(F.expr(e).alias(n) for n, e in lists.items()))
 
@@ -82,7 +82,7 @@ def lens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def arxiv(spark: SparkSession, sf: str) -> DataFrame:
-    names = table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderpriority")).alias("_k"))
+    names = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderpriority")).alias("_k"))
     return table(spark, sf, "customer").join(names, F.col("c_custkey") == F.col("o_custkey"), "left").selectExpr(
         "concat('A', c_custkey) AS id", "c_name AS title", "c_mktsegment AS abstract", "concat('https://doi.org/10.2/', c_mktsegment) AS doi", "make_date(2000 + c_nationkey, 1, 1) AS created", "named_struct('author', transform(_k, x -> struct(x as keyname))) AS authors"
     )

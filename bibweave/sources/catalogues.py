@@ -38,7 +38,7 @@ def bare_doi(doi: Column) -> Column:
 
 def sorted_list(items: Column) -> Column:
     """Items in their own order (numbers by size), then as text, comma-joined; empty for null."""
-    return F.coalesce(F.array_join(F.transform(F.array_sort(items), lambda x: x.cast("string")), ","), F.lit(""))
+    return F.coalesce(F.array_join(F.sort_array(items).cast("array<string>"), ","), F.lit(""))
 
 
 def arxiv_ids(papers: DataFrame) -> DataFrame:
@@ -66,11 +66,11 @@ def union_ids(*ids: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, (d.select(F.col("id").cast("string").alias("id")) for d in ids))
 
 
-def _standard(df: DataFrame, dataset: str) -> DataFrame:
+def _standard(df: DataFrame, dataset: str, *more: str) -> DataFrame:
     kinds = {"year": "bigint", "last_names": "array<string>"}
     have = {c: F.col(c) if c in df.columns else F.lit(None) for c in COLUMNS}
     have["dataset"] = F.lit(dataset)
-    return df.select(*(have[c].cast(kinds.get(c, "string")).alias(c) for c in COLUMNS))
+    return df.select(*(have[c].cast(kinds.get(c, "string")).alias(c) for c in COLUMNS), *more)
 
 
 def arxiv_metadata(papers: DataFrame) -> DataFrame:
@@ -102,13 +102,23 @@ def s2_metadata(papers: DataFrame, abstracts: DataFrame, citations: DataFrame) -
     return _standard(rows.select(F.col("corpusid").alias("id"), "title", "abstract", bare_doi(F.col("externalids.DOI")).alias("clean_doi"), F.year("publicationdate").alias("year"), _present(F.col("authors.name")).alias("last_names"), "references"), "s2")
 
 
-def lens_metadata(records: DataFrame) -> DataFrame:
-    """A record with several DOIs gives a row for each; one with none gives one row."""
+def lens_records(records: DataFrame) -> DataFrame:
+    """One row for each record, with its DOIs as an array ``_dois``; lists are put in order here, once for each record."""
     rows = records.where(allowed(F.col("publication_type"), LENS_LEFT_OUT))
     dois = F.transform(F.filter("external_ids", lambda e: e["type"] == "doi"), lambda e: F.lower(e["value"]))
-    refs = F.array_join(F.array_sort(F.filter(F.col("references.lens_id"), lambda r: r.isNotNull())), ",")
-    out = rows.select(F.col("lens_id").alias("id"), "title", "abstract", F.explode_outer(dois).alias("clean_doi"), F.col("year_published").alias("year"), _present(F.col("authors.last_name")).alias("last_names"), F.nullif(refs, F.lit("")).alias("references"))
-    return _standard(out, "lens")
+    refs = F.array_join(F.sort_array(F.col("references.lens_id")), ",")
+    out = rows.select(F.col("lens_id").alias("id"), "title", "abstract", F.col("year_published").alias("year"), _present(F.col("authors.last_name")).alias("last_names"), F.nullif(refs, F.lit("")).alias("references"), dois.alias("_dois"))
+    return _standard(out, "lens", "_dois")
+
+
+def by_doi(rows: DataFrame) -> DataFrame:
+    """A row for each of ``_dois``; one with none gives one row."""
+    return rows.select(*(F.explode_outer("_dois").alias(c) if c == "clean_doi" else c for c in COLUMNS))
+
+
+def lens_metadata(records: DataFrame) -> DataFrame:
+    """A record with several DOIs gives a row for each; one with none gives one row."""
+    return by_doi(lens_records(records))
 
 
 def remapped(meta: DataFrame, sources: DataFrame) -> DataFrame:
