@@ -73,18 +73,24 @@ def keys_survived(rows: DataFrame, sources: DataFrame, unlink: DataFrame, rules=
     ``rows`` has id and hashed keys, as ``hashed_keys`` gives them. Pairs that agree in a set of
     keys are counted as squares of the sizes of its groups, less those with one
     merged id, and the rules are summed up by inclusion and exclusion. Only ids
-    with several different rows are matched pair by pair.
+    with several rows are matched pair by pair.
     """
     scratch = scratch or Scratch(rows.sparkSession)
     weights = _weights(rules)
     keys = [k for k in dict.fromkeys(k for r in rules for k in r)]
-    own = F.struct(*keys)
-    per = scratch.save(rows.groupBy("id").agg(F.min(own).alias("k"), F.max(own).alias("last")))
-    single = F.col("k").eqNullSafe(F.col("last"))
+    rows = rows.select("id", *keys)
+    several = scratch.save(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_id")))
+    repeated = not several.isEmpty()
     merged = sources.select(F.col("orig_id").alias("_id"), F.col("merged_id").alias("_m"))
-    one = scratch.save(per.where(single).select("id", "k.*").join(merged, F.col("id") == F.col("_id"), "left").drop("_id"))
-    each = [F.when(reduce(Column.__and__, (F.col(k).isNotNull() for k in s)), F.struct(F.lit(w).alias("w"), F.lit(i).alias("i"), F.xxhash64(F.lit(i), *s).alias("h1"), F.xxhash64(*s, F.lit(i + 1000)).alias("h2"))) for i, (s, w) in enumerate(weights.items())]
-    in_sets = one.select("_m", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("g")).select("_m", "g.*")
+    one = rows.join(several, F.col("id").eqNullSafe(F.col("_id")), "left_anti") if repeated else rows
+    one = scratch.save(one.join(merged, F.col("id") == F.col("_id"), "left").drop("_id"))
+    # the sets of a row are found by bits, and only then hashed
+    bit = {k: 1 << n for n, k in enumerate(keys)}
+    sets = F.array(*(F.struct(F.lit(sum(bit[k] for k in s)).alias("set"), F.lit(w).alias("w")) for s, w in weights.items()))
+    own = reduce(Column.bitwiseOR, (F.when(F.col(k).isNotNull(), F.lit(bit[k])).otherwise(F.lit(0)) for k in keys))
+    in_sets = one.withColumn("_own", own).where("_own != 0").select("_m", "_own", *keys, F.explode(sets).alias("g")).where(F.col("_own").bitwiseAND(F.col("g.set")) == F.col("g.set"))
+    values = [F.when(F.col("g.set").bitwiseAND(F.lit(bit[k])) != 0, F.col(k)) for k in keys]
+    in_sets = in_sets.select("_m", "g.w", F.col("g.set").alias("i"), F.xxhash64("g.set", *values).alias("h1"), F.xxhash64(*values, F.col("g.set") + 1000).alias("h2"))
     together_ = in_sets.groupBy("w", "i", "h1", "h2", "_m").agg(F.count(F.lit(1)).alias("n"))
     sizes = together_.groupBy("w", "i", "h1", "h2").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("_m").isNotNull(), F.col("n") * F.col("n")).otherwise(0)).alias("same"))
     counted = sizes.select((F.col("w") * (F.col("n") * F.col("n") - F.col("same"))).alias("n"))
@@ -97,9 +103,8 @@ def keys_survived(rows: DataFrame, sources: DataFrame, unlink: DataFrame, rules=
     matched = reduce(Column.__or__, (reduce(Column.__and__, (F.col(f"{k}1") == F.col(f"{k}2") for k in r)) for r in rules))
     spared = held.join(end(1), "id1").join(end(2), "id2").where(matched & apart).select(F.lit(-1).cast("long").alias("n"))
     total = counted.unionByName(spared)
-    several = per.where(~single).select(F.col("id").alias("_id"))
-    if not several.isEmpty():
-        stack = scratch.save(stacked(rows.select("id", *keys), rules, hashed=True))
+    if repeated:
+        stack = scratch.save(stacked(rows, rules, hashed=True))
         some = stack.join(several, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
         ends = some.select("rule", "key", F.col("id").alias("id1")).join(stack.select("rule", "key", F.col("id").alias("id2")), ["rule", "key"]).select("id1", "id2").distinct()
         # pairs whose second id has one row are there in one order only

@@ -30,10 +30,18 @@ def match_groups(pairs: DataFrame, unlink: DataFrame | None = None, scratch: Scr
     """
     scratch = scratch or Scratch(pairs.sparkSession)
     a, b = pairs.columns[:2]
-    edges = pairs.select(F.least(a, b).alias("id1"), F.greatest(a, b).alias("id2")).where("id1 is not null and id2 is not null").distinct()
+    edges = pairs.select(F.least(a, b).alias("id1"), F.greatest(a, b).alias("id2")).where(f"`{a}` is not null and `{b}` is not null")
+    return grouped(edges.where("id1 != id2"), edges.select(F.explode(F.array("id1", "id2")).alias("id")), unlink, scratch)
+
+
+def grouped(edges: DataFrame, ids: DataFrame, unlink: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """The same from edges (id1, id2) and all ids: those without an edge take no part in the rounds."""
+    scratch = scratch or Scratch(edges.sparkSession)
+    edges = edges.where("id1 is not null and id2 is not null").select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"))
     cut = edges if unlink is None else edges.join(symmetric(unlink), ["id1", "id2"], "left_anti")
-    alone = edges.select(F.explode(F.array("id1", "id2")).alias("id1")).distinct().select("id1", F.col("id1").alias("id2"))
-    return connected_components(cut.unionByName(alone), scratch).select(F.col("component").alias("root"), F.col("node").alias("orig_id"))
+    found = connected_components(cut, scratch)
+    every = ids.select(F.col(ids.columns[0]).alias("node")).where("node is not null").distinct()
+    return every.join(found, "node", "left").select(F.coalesce("component", "node").alias("root"), F.col("node").alias("orig_id"))
 
 
 def numbered(df: DataFrame, by: str, out: str, scratch: Scratch | None = None) -> DataFrame:

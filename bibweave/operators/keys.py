@@ -44,14 +44,19 @@ def hashed_keys(df: DataFrame, keys: tuple[str, ...] = (*STRONG, *WEAK), *, list
     return df.select(F.col(id_).alias("id"), *also, *(F.when(usable(k, listed=listed), _hash(k)).alias(k) for k in keys))
 
 
+def _exploded(df: DataFrame, keys: tuple[str, ...], id_: str, hashed: bool) -> DataFrame:
+    """(_id, which, key) of each key that is not null. Nulls go after the explosion: a filter of arrays would not be compiled, nor what is in them."""
+    own = F.array(*(F.when(F.col(k).isNotNull(), F.struct(F.lit(i).alias("which"), (F.col(k) if hashed else _hash(k)).alias("key"))) for i, k in enumerate(keys)))
+    return df.select(F.col(id_).alias("_id"), F.explode(own).alias("k")).where("k is not null").select("_id", "k.which", "k.key")
+
+
 def frequent(df: DataFrame, keys: tuple[str, ...] = FILTERED, most: int = MOST_IDS, id_: str = "id", *, hashed: bool = False) -> DataFrame:
     """(which, key): hashes of the keys that more than ``most`` distinct ids share, all keys counted in one exchange.
 
     Distinct (key, id) pairs are counted in two steps, so a key that a third of
     all rows share is spread over all tasks first.
     """
-    own = F.filter(F.array(*(F.when(F.col(k).isNotNull(), F.struct(F.lit(i).alias("which"), (F.col(k) if hashed else _hash(k)).alias("key"))) for i, k in enumerate(keys))), lambda x: x.isNotNull())
-    rows = df.select(F.col(id_).alias("_id"), F.explode(own).alias("k")).select("_id", "k.which", "k.key").distinct()
+    rows = _exploded(df, keys, id_, hashed).distinct()
     return rows.groupBy("which", "key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select("which", "key")
 
 
@@ -70,7 +75,7 @@ def drop_frequent(df: DataFrame, keys: tuple[str, ...] = FILTERED, most: int = M
             out = out.withColumn("_key", value(k)).join(F.broadcast(often.where(F.col("which") == i).select(F.col("key").alias("_key"), F.lit(True).alias("_often"))), "_key", "left")
             out = out.withColumn(k, F.when(F.col("_often").isNull(), F.col(k))).drop("_key", "_often")
         return out.select(*df.columns)
-    rows = df.select(F.col(id_).alias("_id"), F.explode(F.filter(F.array(*(F.when(F.col(k).isNotNull(), F.struct(F.lit(i).alias("which"), value(k).alias("key"))) for i, k in enumerate(keys))), lambda x: x.isNotNull())).alias("k")).select("_id", "k.which", "k.key").distinct()
+    rows = _exploded(df, keys, id_, hashed).distinct()
     # of each id the frequent keys that its rows have
     held = rows.join(often, ["which", "key"]).groupBy("_id").agg(F.collect_set(F.struct("which", "key")).alias("_held"))
     out = df.withColumn("_id", F.col(id_)).join(held, "_id", "left")
@@ -78,12 +83,14 @@ def drop_frequent(df: DataFrame, keys: tuple[str, ...] = FILTERED, most: int = M
     return out.withColumns(nulled).select(*df.columns)
 
 
-def stacked(df: DataFrame, rules: tuple[tuple[str, ...], ...] = RULES, *, listed: bool = True, id_: str = "id", hashed: bool = False) -> DataFrame:
+def stacked(df: DataFrame, rules: tuple[tuple[str, ...], ...] = RULES, *, listed: bool = True, id_: str = "id", hashed: bool = False, distinct: bool = True) -> DataFrame:
     """Distinct rows (rule, key, id) of all rules: ``key`` stands for the values of the rule's keys.
 
     One exchange serves all rules, and long texts cross it as 16 bytes. ``hashed``: ``df`` comes from ``hashed_keys``.
+    Without ``distinct`` an id with several rows can have a key several times, and there is no exchange.
     """
     wanted = tuple(sorted({k for r in rules for k in r}))
     rows = df if hashed else hashed_keys(df, wanted, listed=listed, id_=id_)
     each = [F.when(reduce(Column.__and__, (F.col(k).isNotNull() for k in r)), F.struct(F.lit(i).alias("rule"), F.md5(F.concat(*(F.col(k) for k in r)).cast("binary")).alias("key"))) for i, r in enumerate(rules)]
-    return rows.select("id", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("k")).select("k.rule", "k.key", "id").distinct()
+    out = rows.select("id", F.explode(F.array(*each)).alias("k")).where("k is not null").select("k.rule", "k.key", "id")
+    return out.distinct() if distinct else out

@@ -52,8 +52,8 @@ def key_pairs(keys: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     spark = keys.sparkSession
     tasks = min(MOST_TASKS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(pairs // TASK_PAIRS)))
     if keys.select("rule").distinct().limit(2).count() > 1:
-        of_id = keys.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("rule")).alias("at"), "key"))).alias("own"))
-        rows = of_id.select("id", F.posexplode("own").alias("pos", "k"), F.transform("own", lambda x: F.xxhash64(x["at"], x["key"])).alias("hashes"))
+        of_id = keys.groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("rule")).alias("at"), "key", F.xxhash64("rule", "key").alias("h")))).alias("own"))
+        rows = of_id.select("id", F.posexplode("own").alias("pos", "k"), F.col("own.h").alias("hashes"))
         rows = rows.select("id", (-F.col("k.at")).alias("rule"), "k.key", F.slice("hashes", F.lit(1), F.col("pos")).alias("before"))
     else:
         # of one rule, only an id with several rows has keys before
@@ -107,6 +107,50 @@ def every_pair(df: DataFrame, keys: DataFrame, *links: DataFrame, scratch: Scrat
     return rest.distinct().unionByName(key_pairs(keys, scratch).toDF("id1", "id2"))
 
 
+def group_edges(keys: DataFrame, unlinked: DataFrame) -> DataFrame:
+    """Edges (id1, id2) that group ids as all pairs of each (rule, key) would, less the unlinked pairs.
+
+    Every member is tied to one hub: the least member that is unlinked from no
+    other member. Such a hub ties the whole group together as all its pairs
+    would. Only a group in which each member is unlinked from another is
+    written out in full; it has at most as many members as the list of
+    unlinked pairs has ids.  ``unlinked`` must be symmetric. Keys may be repeated.
+    """
+    if unlinked.isEmpty():
+        marked = keys.withColumn("torn", F.lit(None).cast("boolean"))
+    else:
+        partners = keys.join(unlinked.select(F.col("id1").alias("id"), F.col("id2").alias("partner")), "id")
+        torn = partners.join(keys.withColumnRenamed("id", "partner"), ["rule", "key", "partner"]).select("rule", "key", "id").distinct().withColumn("torn", F.lit(True))
+        marked = keys.join(torn, ["rule", "key", "id"], "left")
+    hubs = marked.groupBy("rule", "key").agg(F.min(F.when(F.col("torn").isNull(), F.col("id"))).alias("hub"), F.min("id").alias("least"), F.max("id").alias("last")).where("least != last").select("rule", "key", "hub")
+    tied = keys.join(hubs, ["rule", "key"])
+    stars = tied.where("hub is not null and hub != id").select(F.col("id").alias("id1"), F.col("hub").alias("id2"))
+    if unlinked.isEmpty():
+        return stars
+    full = tied.where("hub is null").select("rule", "key", "id")
+    pairs = full.select("rule", "key", F.col("id").alias("id1")).join(full.select("rule", "key", F.col("id").alias("id2")), ["rule", "key"]).where("id1 < id2").select("id1", "id2")
+    return stars.unionByName(pairs.join(unlinked.select("id1", "id2"), ["id1", "id2"], "left_anti"))
+
+
+def every_pair(df: DataFrame, keys: DataFrame, *links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """The same as ``all_match_pairs`` from stacked keys: only ids on their own and links are shuffled, no matches.
+
+    An id with a key matches itself, so ids on their own are those without key and link.
+    """
+    scratch = scratch or Scratch(keys.sparkSession)
+    keys = scratch.save(keys.select("rule", "key", "id"))
+    rest = self_pairs(df, keys.select("id"), *links)
+    rest = rest.join(keys.where("id is null").select(F.col("id").alias("_id")).distinct(), F.col("id1").eqNullSafe(F.col("_id")), "left_anti")
+    linked = [x.toDF("id1", "id2") for x in links]
+    if linked:
+        linked = reduce(DataFrame.unionByName, linked).distinct()
+        ends = [keys.select(F.col("id").alias(f"_id{i}"), "rule", "key") for i in (1, 2)]
+        found = linked.join(ends[0], F.col("id1").eqNullSafe(F.col("_id1"))).join(ends[1].withColumnsRenamed({"rule": "_rule", "key": "_key"}), F.col("id2").eqNullSafe(F.col("_id2")) & (F.col("rule") == F.col("_rule")) & (F.col("key") == F.col("_key")))
+        found = found.select(F.col("id1").alias("_a"), F.col("id2").alias("_b")).distinct()
+        rest = rest.unionByName(linked.join(found, F.col("id1").eqNullSafe(F.col("_a")) & F.col("id2").eqNullSafe(F.col("_b")), "left_anti"))
+    return rest.distinct().unionByName(key_pairs(keys, scratch).toDF("id1", "id2"))
+
+
 def group_edges(keys: DataFrame, unlinked: DataFrame) -> DataFrame:
     """Edges (id1, id2) that group ids as all pairs of each (rule, key) would, less the unlinked pairs.
 

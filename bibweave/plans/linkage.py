@@ -57,12 +57,13 @@ class Linkage:
     @cached_property
     def groups(self) -> DataFrame:
         """(root, orig_id) of all ids, those known from links alone included."""
-        edges = group_edges(self.keys, identity.symmetric(self.unlink))
-        # each id stands for itself: that adds nothing to a group, and none is lost
-        pairs = edges.unionByName(self.hashed.select(F.col("id").alias("id1"), F.col("id").alias("id2")))
+        unlink = self.scratch.save(identity.symmetric(self.unlink))  # a short list is broadcast, as its size is known
+        edges = group_edges(stacked(self.usable, self.rules, hashed=True, distinct=False), unlink)
+        ids = self.hashed.select("id")
         for x in self.links:
-            pairs = pairs.unionByName(x.toDF("id1", "id2"))
-        return identity.match_groups(pairs, self.unlink, self.scratch)
+            linked = x.toDF("id1", "id2").where("id1 is not null and id2 is not null")
+            edges, ids = edges.unionByName(linked), ids.unionByName(linked.select(F.explode(F.array("id1", "id2")).alias("id")))
+        return self.scratch.save(identity.grouped(edges, ids, unlink, self.scratch))
 
     @cached_property
     def mapping(self) -> DataFrame:

@@ -607,3 +607,20 @@ def test_gates_and_groups_make_no_pairs(spark):
     assert run.checks.where("check_name = 'all_matches_survived'").first().found == 0
     assert max(made) <= 6000
     assert checks.keys_survived(run.usable, run.sources.limit(0), run.unlink).first().found == 9_000_000
+
+
+def test_texts_are_fingerprinted_once(spark):
+    df = spark.createDataFrame([(i, f"text number {i % 7}") for i in range(30)], "id long, text string")
+    plan = simhash.linked(df, "id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_lists_are_put_in_order_before_records_are_repeated(spark):
+    df = spark.createDataFrame(
+        [("L1", "t", "a", 1990, "article", [("doi", f"V{i}") for i in range(9)], [("b",), (None,), ("a",)], [("L2",), (None,), ("L10",)])],
+        "lens_id string, title string, abstract string, year_published int, publication_type string, external_ids array<struct<type string, value string>>, authors array<struct<last_name string>>, `references` array<struct<lens_id string>>",
+    )
+    out = C.by_doi(C.lens_records(df))
+    assert sorted((r.clean_doi, r.references) for r in out.collect()) == [(f"v{i}", "L10,L2") for i in range(9)]
+    above = out._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "sort_array" not in above and "array_join" not in above
