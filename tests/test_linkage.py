@@ -624,3 +624,13 @@ def test_lists_are_put_in_order_before_records_are_repeated(spark):
     assert sorted((r.clean_doi, r.references) for r in out.collect()) == [(f"v{i}", "L10,L2") for i in range(9)]
     above = out._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
     assert "sort_array" not in above and "array_join" not in above
+
+
+def test_match_queries_normalise_only_their_keys(spark, monkeypatch):
+    from bibweave.plans import catalogue
+
+    seen, real = [], catalogue.T.normalise
+    monkeypatch.setattr(catalogue.T, "normalise", lambda df, fields: (seen.append(fields), real(df, fields))[1])
+    for name in ("match_references_year", "match_abstract_norm_year"):
+        catalogue.queries()[name](spark, "/root/testdata/sf0.001")
+    assert seen == [(), ("abstract",)]
